@@ -119,7 +119,7 @@ def save_model(spark: SparkSession, model: MatchModel, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> MatchModel:
-    return MatchModel.from_json(spark.read.option("wholetext", True).text(path).first()["value"])
+    return MatchModel.from_json(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def comparison_vectors(pairs: DataFrame, comparisons: Sequence[Comparison]) -> DataFrame:
