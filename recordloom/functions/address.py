@@ -20,10 +20,11 @@ def parse_location(location: Column) -> Column:
     parsed = (n >= 2) & F.element_at(parts, 1).rlike(STREET)
 
     last = F.element_at(parts, -1)
+    padded = F.concat(F.lit(" "), last)
     postal = empty_to_null(F.regexp_extract(last, POSTAL_CODE, 1))
-    has_state = postal.isNotNull() & last.rlike(STATE)
-    state = F.when(has_state, empty_to_null(F.regexp_extract(F.concat(F.lit(" "), last), STATE, 1)))
-    tail = F.when(has_state, F.regexp_replace(F.concat(F.lit(" "), last), STATE, "")).otherwise(
+    has_state = postal.isNotNull() & padded.rlike(STATE)
+    state = F.when(has_state, empty_to_null(F.regexp_extract(padded, STATE, 1)))
+    tail = F.when(has_state, F.regexp_replace(padded, STATE, "")).otherwise(
         F.regexp_replace(last, POSTAL_CODE, "")
     )
     tail = empty_to_null(strip(tail))

@@ -28,7 +28,9 @@ DAY_FORMATS = (
 )
 MONTH_FORMATS = ((r"^\d{4}-\d{1,2}$", "yyyy-M"), (r"^\d{4}/\d{1,2}$", "yyyy/M"))
 YEAR_SHAPE = r"^\d{4}$"
+TWO_DIGIT_YEAR = r"/\d{2}$"
 YEAR_MIN = 1500
+TWO_DIGIT_PIVOT = 2069  # a two-digit year from 69 on belongs to the last century
 
 
 def _first_parse(text: Column, formats) -> Column:
@@ -40,6 +42,8 @@ def parse_partial_date(value: Column) -> Column:
     """Struct for a parsed value, null for null or unparseable input."""
     text = F.regexp_replace(strip(value.cast("string")), r"^(.*?\d{1,2})(?:st|nd|rd|th)\b", "$1")
     day = _first_parse(text, DAY_FORMATS)
+    two_digits = text.rlike(TWO_DIGIT_YEAR) & (F.year(day) >= TWO_DIGIT_PIVOT)
+    day = F.when(two_digits, F.add_months(day, -1200)).otherwise(day)
     month = _first_parse(text, MONTH_FORMATS)
     year = F.when(text.rlike(YEAR_SHAPE), text.cast("int"))
     parsed = F.coalesce(day, month)

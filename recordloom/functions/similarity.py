@@ -106,9 +106,13 @@ def _jaro_winkler_udf(first: pd.Series, second: pd.Series) -> pd.Series:
     return pd.Series(result).where(both.to_numpy(), None)
 
 
+# Marked so that the optimiser never evaluates it a second time below a filter on its result.
+_jaro_winkler_once = _jaro_winkler_udf.asNondeterministic()
+
+
 def jaro_winkler(a: Column, b: Column) -> Column:
     """Jaro-Winkler similarity as a column; null when either side is null."""
-    return _jaro_winkler_udf(a, b)
+    return _jaro_winkler_once(a, b)
 
 
 def similarity_upper_bound(a: Column, b: Column) -> Column:
@@ -125,4 +129,4 @@ def jaro_winkler_above(a: Column, b: Column, at_least: float) -> Column:
     Nulls reach the Python worker for skipped rows, so it does no work for them.
     """
     needed = (a != b) & (similarity_upper_bound(a, b) >= at_least)
-    return _jaro_winkler_udf(F.when(needed, a), F.when(needed, b))
+    return _jaro_winkler_once(F.when(needed, a), F.when(needed, b))

@@ -11,7 +11,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from recordloom.functions.similarity import jaro_winkler_above
+from recordloom.functions.similarity import jaro_winkler_above, similarity_upper_bound
 
 PROBABILITY_FLOOR = 1e-6
 
@@ -36,13 +36,13 @@ class Comparison:
     def gamma(self) -> str:
         return f"gamma_{self.column}"
 
-    def level(self, left: Column, right: Column) -> Column:
-        missing = left.isNull() | right.isNull()
-        ladder = F.when(missing, -1).when(left == right, self.exact_level)
-        if self.thresholds:
-            score = jaro_winkler_above(left, right, min(self.thresholds))
-            for i, t in enumerate(sorted(self.thresholds, reverse=True)):
-                ladder = ladder.when(score >= t, self.exact_level - 1 - i)
+    def similarity(self, left: Column, right: Column) -> Column:
+        return jaro_winkler_above(left, right, min(self.thresholds))
+
+    def level(self, left: Column, right: Column, similarity: Column | None = None) -> Column:
+        ladder = F.when(left.isNull() | right.isNull(), -1).when(left == right, self.exact_level)
+        for i, t in enumerate(sorted(self.thresholds, reverse=True)):
+            ladder = ladder.when(similarity >= t, self.exact_level - 1 - i)
         return ladder.otherwise(0).cast("int")
 
 
@@ -124,9 +124,46 @@ def load_model(spark: SparkSession, path: str) -> MatchModel:
 
 def comparison_vectors(pairs: DataFrame, comparisons: Sequence[Comparison]) -> DataFrame:
     """Add one level column per comparison to pairs with sides ``l`` and ``r``."""
-    return pairs.withColumns(
-        {c.gamma: c.level(F.col(f"l.{c.column}"), F.col(f"r.{c.column}")) for c in comparisons}
-    )
+    fuzzy = [c for c in comparisons if c.thresholds]
+    sides = {c: (F.col(f"l.{c.column}"), F.col(f"r.{c.column}")) for c in comparisons}
+    measured = pairs.withColumns({f"_sim_{c.column}": c.similarity(*sides[c]) for c in fuzzy}) if fuzzy else pairs
+    levels = {c.gamma: c.level(*sides[c], F.col(f"_sim_{c.column}") if c.thresholds else None) for c in comparisons}
+    return measured.withColumns(levels).drop(*[f"_sim_{c.column}" for c in fuzzy])
+
+
+def can_reach(model: MatchModel, threshold: float) -> Column:
+    """False only for pairs that no similarity score could lift to ``threshold``.
+
+    Everything known without string similarity (missing, exact, lengths, term frequencies) is
+    taken as it is, the rest at its most favourable. It runs inside the join, before Python.
+    """
+    best = F.lit(model.prior_weight)
+    for c in model.comparisons:
+        left, right = F.col(f"l.{c.column}"), F.col(f"r.{c.column}")
+        exact = F.lit(model.log_factor(c, c.exact_level))
+        if c.term_frequency:
+            exact = exact + _frequency_bonus(model, c)
+        reachable = model.log_factor(c, 0)
+        other = F.lit(reachable)
+        ladder = None
+        for g, t in zip(range(1, c.exact_level), sorted(c.thresholds)):
+            reachable = max(reachable, model.log_factor(c, g))
+            bound = similarity_upper_bound(left, right) >= t
+            ladder = F.when(bound, F.lit(reachable)).otherwise(other if ladder is None else ladder)
+        best = best + F.when(left.isNull() | right.isNull(), 0.0).when(left == right, exact).otherwise(
+            other if ladder is None else ladder
+        )
+    needed = math.log2(threshold / (1 - threshold)) if threshold > 0 else -1e300
+    return best >= F.lit(needed - 1e-9)
+
+
+def _frequency_bonus(model: MatchModel, c: Comparison) -> Column:
+    """log2(u / larger term frequency) of an exact agreement."""
+    _, u = model.parameters.get(c.column, {}).get(c.exact_level, (None, None))
+    if u is None:
+        return F.lit(0.0)
+    tf = F.greatest(F.col(f"l.tf_{c.column}"), F.col(f"r.tf_{c.column}"))
+    return F.coalesce(F.log2(F.lit(u) / tf), F.lit(0.0))
 
 
 def term_frequencies(records: DataFrame, column: str, weight: str | None = None) -> DataFrame:
@@ -154,11 +191,7 @@ def score_pairs(vectors: DataFrame, model: MatchModel) -> DataFrame:
             ladder = F.when(F.col(c.gamma) == g, F.lit(model.log_factor(c, g))).otherwise(ladder)
         factors[f"bf_{c.column}"] = ladder
         if c.term_frequency:
-            _, u = model.parameters.get(c.column, {}).get(c.exact_level, (None, None))
-            bonus = F.lit(0.0)
-            if u is not None:
-                tf = F.greatest(F.col(f"l.tf_{c.column}"), F.col(f"r.tf_{c.column}"))
-                bonus = F.when(F.col(c.gamma) == c.exact_level, F.coalesce(F.log2(F.lit(u) / tf), F.lit(0.0))).otherwise(0.0)
+            bonus = F.when(F.col(c.gamma) == c.exact_level, _frequency_bonus(model, c)).otherwise(0.0)
             factors[f"tf_adjustment_{c.column}"] = bonus
     scored = vectors.withColumns(factors)
     weight = reduce(lambda a, b: a + b, [F.col(name) for name in factors], F.lit(model.prior_weight))

@@ -10,7 +10,7 @@ from recordloom.operators.blocking import (
     CELL_ROWS, COPIES, NODE, PID, BlockingRule, copy_pairs, profile_pairs, without_implied,
 )
 from recordloom.operators.components import connected_components
-from recordloom.operators.model import MatchModel, comparison_vectors, required_equalities, score_pairs
+from recordloom.operators.model import MatchModel, can_reach, comparison_vectors, required_equalities, score_pairs
 from recordloom.settings import CLUSTER_ID, CLUSTER_THRESHOLD, DATA_SOURCE, PREDICT_THRESHOLD, UNIQUE_ID
 
 
@@ -37,14 +37,15 @@ def predict(
 ) -> DataFrame:
     """Scored pairs of profiles (and of copies inside one) with probability of at least ``threshold``.
 
-    Pairs are compared, scored and filtered inside the join that makes them; only those above
-    the threshold leave the stage.
+    Pairs are scored in the stage that joins them. Those that could not reach the threshold
+    whatever their similarity fail the join condition; only the rest are measured in Python.
     """
     useful = pruned_rules(rules, model, threshold)
     copies = copy_pairs(profile_rows, rules, link_type)
     pairs = copies
     if useful:
         pairs = profile_pairs(profile_rows, useful, link_type, cell_rows).unionByName(copies)
+    pairs = pairs.where(can_reach(model, threshold))
     scored = score_pairs(comparison_vectors(pairs, model.comparisons), model)
     return scored.where(F.col("match_probability") >= threshold)
 

@@ -22,6 +22,7 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "reco
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
