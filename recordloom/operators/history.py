@@ -8,9 +8,11 @@ Parquet so that an upsert appends closed rows and rewrites only the current ones
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions.keys import with_load_metadata
 from recordloom.operators.dedup import first_per_key, tie_break
@@ -179,8 +181,10 @@ class HistoryTable:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def commits(self) -> DataFrame | None:
+        """One row per version: its time and the schema of its live rows."""
         root = f"{self.path}/commits"
-        return self.spark.read.schema("version bigint, committed_at timestamp").parquet(root) if self._exists(root) else None
+        fields = "version bigint, committed_at timestamp, live_schema string"
+        return self.spark.read.schema(fields).parquet(root) if self._exists(root) else None
 
     def version(self, timestamp=None) -> int:
         commits = self.commits()
@@ -191,7 +195,12 @@ class HistoryTable:
         return commits.agg(F.max("version").alias("v")).first()["v"] or 0
 
     def _live(self, version: int) -> DataFrame:
-        return self.spark.read.option("recursiveFileLookup", False).parquet(f"{self.path}/current/v={version}")
+        # a stated schema keeps partition values as they are ("07101" must not become a number)
+        row = self.commits().where(F.col("version") == version).first()
+        if row is None:
+            raise ValueError(f"{self.path} has no version {version}")
+        schema = T.StructType.fromJson(json.loads(row["live_schema"]))
+        return self.spark.read.schema(schema).parquet(f"{self.path}/current/v={version}").select(*schema.fieldNames())
 
     def history(self) -> DataFrame:
         version = self.version()
@@ -247,7 +256,8 @@ class HistoryTable:
         closed = history.where(F.col(VALID_TO) == version)
         write_parquet(closed, f"{self.path}/closed/v={version}", mode="overwrite")
         marker = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at")
+            F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at"),
+            F.lit(live.schema.json()).alias("live_schema"),
         )
         write_parquet(marker, f"{self.path}/commits/v={version}", mode="overwrite")
         return version

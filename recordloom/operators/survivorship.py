@@ -255,14 +255,17 @@ ENTITY_TYPE = T.StructType(
 LICENSES_TYPE = T.ArrayType(T.StructType([T.StructField("license_id", T.StringType()), T.StructField("expiration_date", DATE)]))
 
 
-def nest_children(children: DataFrame, fields: Sequence[str], rank: Column, name: str, rows: int = NEST_ROWS) -> DataFrame:
+def nest_children(
+    children: DataFrame, fields: Sequence[str], rank: Column, name: str, rows: int = NEST_ROWS,
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
     """``(cluster_id, part, name)``: child rows as ordered arrays of at most about ``rows`` elements.
 
     Almost every cluster has the single part 0. A cluster with more children gets several
     parts, split by a hash, so no row grows without bound and no child is dropped.
     """
     sizes = children.groupBy(CLUSTER_ID).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("_parts"))
-    part = F.pmod(F.xxhash64(*fields), F.col("_parts")).cast("int")
+    part = F.pmod(F.xxhash64(*(spread or fields)), F.col("_parts")).cast("int")
     grouped = (
         children.join(sizes, CLUSTER_ID).withColumn("part", part)
         .groupBy(CLUSTER_ID, "part")
@@ -272,6 +275,12 @@ def nest_children(children: DataFrame, fields: Sequence[str], rank: Column, name
     return grouped.select(CLUSTER_ID, "part", items.alias(name))
 
 
+def cluster_lists(members: DataFrame, rows: int = NEST_ROWS) -> DataFrame:
+    """Whole member rows per cluster as arrays of structs, ordered by composite id, in bounded parts."""
+    fields = [COMPOSITE_ID, *[c for c in members.columns if c not in (CLUSTER_ID, COMPOSITE_ID)]]
+    return nest_children(members, fields, F.col(COMPOSITE_ID), "records", rows, spread=[COMPOSITE_ID])
+
+
 def nest(result: Integrated, rows: int = NEST_ROWS) -> DataFrame:
     """Integrated records in nested shape; empty alternates and licenses are null.
 

@@ -24,7 +24,7 @@ from recordloom.operators.validate import validate
 from recordloom.plans.settings_er import ResolutionSettings
 from recordloom.session import cut_lineage
 from recordloom.settings import HASH_DIFF, LOAD_TS, SAMPLE_ROWS
-from recordloom.sources.readers import read_any
+from recordloom.sources.readers import read_any, read_parquet
 from recordloom.sources.writers import overwrite_table, quarantine_clusters, quarantine_rows, write_json, write_parquet
 from recordloom.specs import SourceSpec, spec_for_path
 
@@ -181,7 +181,7 @@ def create_gold(spark: SparkSession, layout: Layout) -> publishing.Gold:
     )
     gold = publishing.with_licenses(publishing.gold_records(stored.bridge, stored.anchors), kept)
     overwrite_table(gold, layout.mart("gold_records"), "city")
-    return publishing.Gold(stored.anchors, stored.bridge, spark.read.parquet(layout.mart("gold_records")))
+    return publishing.Gold(stored.anchors, stored.bridge, read_parquet(spark, layout.mart("gold_records"), gold.schema))
 
 
 def run_all(

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import gold, runs, survivorship
 from recordloom.operators.align import tag_source, union_by_name
-from recordloom.operators.resolution import linkage_summary  # noqa: F401  (re-exported for callers of the suite)
 from recordloom.plans.jobs import resolve
 from recordloom.plans.settings_er import ResolutionSettings
 from recordloom.session import cut_lineage
@@ -134,6 +133,17 @@ def linked_members(spark, sf_dir):
     )
 
 
+@query(
+    "cluster_lists",
+    f"""WITH {members_sql()} SELECT cluster_id, 0 AS part, string_agg(composite_id, ' ' ORDER BY composite_id) AS ids, count(*)::INTEGER AS n FROM mem GROUP BY 1""",
+)
+def cluster_lists(spark, sf_dir):
+    """Member rows assembled per cluster; the lists are shown by their ids."""
+    lists = survivorship.cluster_lists(members(spark, sf_dir))
+    ids = F.array_join(F.transform("records", lambda r: r["composite_id"]), " ")
+    return lists.select("cluster_id", "part", ids.alias("ids"), F.size("records").alias("n"))
+
+
 @query(
     "orphan_members",
     f"""WITH {members_sql()}

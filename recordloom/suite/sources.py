@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.keys import with_load_metadata
-from recordloom.settings import HASH_DIFF, LOAD_TS
 from recordloom.sources import readers, writers
 from recordloom.specs import route
 from recordloom.suite.base import query, scratch, table
@@ -55,10 +54,11 @@ def partitioned_table_read(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment")
     )
-    writers.write_table(with_load_metadata(rows, ["c_custkey"], "segment"), path, "segment")
+    loaded = with_load_metadata(rows, ["c_custkey"], "segment")
+    writers.write_table(loaded, path, "segment")
     keys = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F").select("o_custkey")
     return readers.read_table(
-        spark.read.parquet(path), ["c_custkey", "c_name", "segment"], keys, "c_custkey", partition_key="segment"
+        readers.read_parquet(spark, path, loaded.schema), ["c_custkey", "c_name", "segment"], keys, "c_custkey", partition_key="segment"
     )
 
 
@@ -74,7 +74,7 @@ def table_overwrite(spark, sf_dir):
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")
     )
     writers.overwrite_table(fresh, path, "nation")
-    return spark.read.parquet(path).drop(HASH_DIFF, LOAD_TS).select("id", "name", F.col("nation").cast("int"))
+    return readers.read_parquet(spark, path, fresh.schema)
 
 
 @query(
