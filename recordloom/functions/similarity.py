@@ -17,60 +17,115 @@ PREFIX_WEIGHT = 0.1
 PREFIX_LENGTH = 4
 BOOST_ABOVE = 0.7
 
-_CELLS = 1 << 23  # upper bound on the size of one boolean work matrix
+_WORD = 64
+_LONG = 512  # longer strings are handled one by one
+_CELLS = 1 << 21  # bound on the 64-bit cells of the position index of one batch
+_LOW_BITS = np.array([(1 << k) - 1 for k in range(_WORD + 1)], dtype=np.uint64)
 
 
 def _encode(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points as a matrix padded with zeros, and the lengths."""
     lengths = np.array([len(v) for v in values], dtype=np.int64)
     width = max(int(lengths.max()), 1)
-    points = np.array(values, dtype=f"U{width}").view(np.uint32).reshape(len(values), width)
-    return (points.astype(np.uint8) if points.max() < 256 else points), lengths
+    return np.array(values, dtype=f"U{width}").view(np.uint32).reshape(len(values), width), lengths
+
+
+def _low_mask(bits: np.ndarray, word: int) -> np.ndarray:
+    """Mask of the positions below ``bits`` that fall into a 64-bit word."""
+    return _LOW_BITS[np.clip(bits - word * _WORD, 0, _WORD)]
 
 
 def _jaro(first: list[str], second: list[str]) -> np.ndarray:
-    """Jaro similarity of aligned lists of non-empty strings of similar lengths."""
+    """Jaro similarity of aligned lists of non-empty strings.
+
+    The positions of every character of the first string are kept as bit sets, one row per
+    pair, so each step over the second strings handles the whole batch with a few bit
+    operations: candidates = positions of the character, still free, inside the window; the
+    lowest one is taken.
+    """
     p, p_len = _encode(first)
     t, t_len = _encode(second)
-    n, width = p.shape
+    n = len(first)
     rows = np.arange(n)
+    seen = np.zeros(int(max(p.max(), t.max())) + 1, dtype=np.int64)
+    seen[p] = 1
+    seen[t] = 1
+    number = np.cumsum(seen) - 1  # dense code per character
+    size = int(number[-1]) + 1
+    p_cell = number[p.T] * n + rows  # [position, pair] -> cell of (character, pair)
+    t_cell = number[t.T] * n + rows
+    words = -(-p.shape[1] // _WORD)
+    index = np.zeros((words, size * n), dtype=np.uint64)
+    for i in range(p.shape[1]):
+        line = index[i // _WORD]
+        line[p_cell[i]] = line.take(p_cell[i]) | np.uint64(1 << (i % _WORD))
+    valid = np.stack([_low_mask(p_len, w) for w in range(words)])
+    free = valid.copy()
     reach = np.maximum(np.maximum(p_len, t_len) // 2 - 1, 0)
-    free = np.arange(width)[None, :] < p_len[:, None]
-    t_hit = np.zeros(t.shape, dtype=bool)
-    widest = int(reach.max())
+    shortest, longest = int(reach.min()), int(reach.max())
+    hits = np.zeros((t.shape[1], n), dtype=bool)
     for j in range(t.shape[1]):
-        lo, hi = max(0, j - widest), min(width, j + widest + 1)
-        if lo >= hi:
-            break
-        at = np.arange(lo, hi)[None, :]
-        open_cells = (p[:, lo:hi] == t[:, j : j + 1]) & free[:, lo:hi] & (np.abs(at - j) <= reach[:, None])
-        open_cells &= (j < t_len)[:, None]
-        pick = open_cells.argmax(axis=1)
-        hit = open_cells[rows, pick]
-        free[rows[hit], lo + pick[hit]] = False
-        t_hit[hit, j] = True
-    p_hit = ~free & (np.arange(width)[None, :] < p_len[:, None])
+        hit = hits[j]
+        first_word = max(0, j - longest) // _WORD
+        last_word = min(words - 1, (j + longest) // _WORD)
+        for w in range(first_word, last_word + 1):
+            found = index[w].take(t_cell[j])
+            found &= free[w]
+            if j + shortest + 1 < (w + 1) * _WORD:  # some window ends inside this word
+                found &= _low_mask(j + reach + 1, w)
+            if j - shortest > w * _WORD:  # some window starts inside this word
+                found &= ~_low_mask(j - reach, w)
+            if w > first_word:
+                found[hit] = 0
+            found &= ~found + np.uint64(1)
+            free[w] ^= found
+            hit |= found != 0
+    t_hit = hits.T
+    taken = np.ascontiguousarray((valid & ~free).T).view(np.uint8)
+    p_hit = np.unpackbits(taken, axis=1, bitorder="little")[:, : p.shape[1]].astype(bool)
     common = t_hit.sum(axis=1)
-    k = int(common.max()) if n else 0
+    # both selections list the matched characters row by row, in order, equally many per row
+    differs = p[p_hit] != t[t_hit]
+    swaps = np.bincount(np.repeat(rows, common), weights=differs, minlength=n).astype(np.int64) // 2
     score = np.zeros(n)
-    if k == 0:
-        return score
-    p_order = np.argsort(~p_hit, axis=1, kind="stable")[:, :k]
-    t_order = np.argsort(~t_hit, axis=1, kind="stable")[:, :k]
-    differs = np.take_along_axis(p, p_order, 1) != np.take_along_axis(t, t_order, 1)
-    swaps = (differs & (np.arange(k)[None, :] < common[:, None])).sum(axis=1) // 2
     some = common > 0
     m = common[some].astype(float)
     score[some] = (m / p_len[some] + m / t_len[some] + (m - swaps[some]) / m) / 3.0
     return score
 
 
+def _jaro_long(p: str, t: str) -> float:
+    """The same for one pair of long strings, with one unbounded bit set per character."""
+    where: dict[str, int] = {}
+    for i, c in enumerate(p):
+        where[c] = where.get(c, 0) | (1 << i)
+    reach = max(max(len(p), len(t)) // 2 - 1, 0)
+    taken, matched = bytearray(len(p)), []
+    for j, c in enumerate(t):
+        low = max(j - reach, 0)
+        ahead = where.get(c, 0) >> low
+        if ahead:
+            at = (ahead & -ahead).bit_length() - 1 + low
+            if at <= j + reach:
+                where[c] ^= 1 << at
+                taken[at] = 1
+                matched.append(c)
+    m = len(matched)
+    if m == 0:
+        return 0.0
+    in_order = (c for c, hit in zip(p, taken) if hit)
+    swaps = sum(a != b for a, b in zip(in_order, matched)) // 2
+    return (m / len(p) + m / len(t) + (m - swaps) / m) / 3.0
+
+
 def jaro_winkler_pairs(first: list[str], second: list[str]) -> np.ndarray:
     """Jaro-Winkler of aligned lists; an empty string scores 0."""
     out = np.zeros(len(first))
     lengths = np.array([max(len(a), len(b)) if a and b else 0 for a, b in zip(first, second)], dtype=np.int64)
+    for i in np.flatnonzero(lengths > _LONG):
+        out[i] = _jaro_long(first[i], second[i])
     order = np.argsort(lengths, kind="stable")
-    order = order[lengths[order] > 0]
+    order = order[(lengths[order] > 0) & (lengths[order] <= _LONG)]
     start = 0
     while start < len(order):
         # neighbours in length order share one matrix, so padding stays small
@@ -78,7 +133,7 @@ def jaro_winkler_pairs(first: list[str], second: list[str]) -> np.ndarray:
         base = lengths[order[start]]
         while stop < len(order):
             longest = lengths[order[stop]]
-            if longest > 1.25 * base + 8 or (stop + 1 - start) * longest > _CELLS:
+            if longest > 1.25 * base + 16 or (stop + 1 - start) * longest > _CELLS:
                 break
             stop += 1
         chosen = order[start:stop]

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.text import canonical, strip
+from recordloom.session import cut_lineage
 from recordloom.settings import CLUSTER_ID, COMPOSITE_ID, DATA_SOURCE, HASH_DIFF, LOAD_TS, ORPHAN_PREFIX
 from recordloom.specs import DATE
 
@@ -160,9 +161,9 @@ def pick_anchors(scored: DataFrame, anchor_sources: Sequence[str] = ANCHOR_SOURC
 
 
 def with_anchor_agreement(scored: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Members of mergeable clusters with ``is_anchor`` and their agreement with the anchor."""
+    """Members with ``is_anchor``, their agreement with the anchor and the reject reason of their cluster."""
     keys = data_keys_of_scored(scored)
-    joined = scored.join(anchors.where(F.col("reject_reason").isNull()).select(CLUSTER_ID, "anchor"), CLUSTER_ID)
+    joined = scored.join(anchors, CLUSTER_ID)
 
     def both(k: str) -> Column:
         theirs = F.col(f"anchor.{k}")
@@ -176,9 +177,9 @@ def with_anchor_agreement(scored: DataFrame, anchors: DataFrame) -> DataFrame:
 
     compared = _count([both(k) for k in keys])
     equal = _count([both(k) & (canonical(text(k)) == canonical(text(k, "anchor."))) for k in keys])
-    is_anchor = F.col(COMPOSITE_ID) == F.col(f"anchor.{COMPOSITE_ID}")
+    is_anchor = F.coalesce(F.col(COMPOSITE_ID) == F.col(f"anchor.{COMPOSITE_ID}"), F.lit(False))
     agreement = F.when(is_anchor, 1.0).when(compared > 0, equal / compared).otherwise(0.0)
-    return joined.withColumn("is_anchor", is_anchor).withColumn("agreement_score", agreement)
+    return joined.withColumn("is_anchor", is_anchor).withColumn("agreement_score", agreement).drop("anchor")
 
 
 def data_keys_of_scored(scored: DataFrame) -> list[str]:
@@ -231,16 +232,19 @@ def survive(members: DataFrame) -> DataFrame:
 
 
 def integrate(members: DataFrame, anchor_sources: Sequence[str] = ANCHOR_SOURCES) -> Integrated:
-    """Linked member rows to surviving records, alternates, licenses and rejected members."""
-    scored = score_members(members)
+    """Linked member rows to surviving records, alternates, licenses and rejected members.
+
+    Scores and agreements are stored once, because all four results read them.
+    """
+    scored = cut_lineage(score_members(members), "scored")
     anchors = pick_anchors(scored, anchor_sources)
-    ranked = with_anchor_agreement(scored, anchors)
-    reasons = anchors.where(F.col("reject_reason").isNotNull()).select(CLUSTER_ID, "reject_reason")
+    ranked = cut_lineage(with_anchor_agreement(scored, anchors), "ranked")
+    merged = ranked.where(F.col("reject_reason").isNull())
     return Integrated(
-        records=survive(ranked),
-        alternates=alternates_of(ranked),
-        licenses=licenses_of(ranked),
-        rejected=members.join(reasons, CLUSTER_ID),
+        records=survive(merged),
+        alternates=alternates_of(merged),
+        licenses=licenses_of(merged),
+        rejected=ranked.where(F.col("reject_reason").isNotNull()).select(*members.columns, "reject_reason"),
     )
 
 

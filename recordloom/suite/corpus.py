@@ -15,6 +15,7 @@ from recordloom.operators.align import align_sources
 from recordloom.operators.blocking import block_on, profiles, with_profile_id
 from recordloom.operators.dedup import dedup_ranked
 from recordloom.operators.model import MatchModel, exact_match, jaro_winkler_at, with_term_frequencies
+from recordloom.session import cut_lineage
 from recordloom.suite.base import table
 
 REGISTRY = tuple(f"src{i}" for i in range(0, 7))
@@ -121,12 +122,18 @@ def snapshots(spark, sf_dir):
     return out
 
 
-def records(spark, sf_dir, link_type="link_and_dedupe"):
-    return with_profile_id(align_sources(snapshots(spark, sf_dir)), COLUMNS, link_type)
+def stored_snapshots(spark, sf_dir):
+    """The snapshots as written tables, for plans that read them several times: the texts are
+    parsed once and only short fields are read again."""
+    return {n: (cut_lineage(df, f"snapshot-{n}"), key) for n, (df, key) in snapshots(spark, sf_dir).items()}
 
 
-def profile_rows(spark, sf_dir, link_type="link_and_dedupe", term_frequencies=False):
-    rows = profiles(records(spark, sf_dir, link_type), COLUMNS, link_type)
+def records(spark, sf_dir, link_type="link_and_dedupe", frames=None):
+    return with_profile_id(align_sources(frames or snapshots(spark, sf_dir)), COLUMNS, link_type)
+
+
+def profile_rows(spark, sf_dir, link_type="link_and_dedupe", term_frequencies=False, frames=None):
+    rows = profiles(records(spark, sf_dir, link_type, frames), COLUMNS, link_type)
     return with_term_frequencies(rows, COMPARISONS, "n_records") if term_frequencies else rows
 
 

@@ -110,8 +110,8 @@ def pattern_counts(spark, sf_dir):
     return training.pattern_counts(pairs, corpus.COMPARISONS)
 
 
-def _predictions(spark, sf_dir, threshold=0.01):
-    rows = cut_lineage(corpus.profile_rows(spark, sf_dir, term_frequencies=True), "profiles")
+def _predictions(spark, sf_dir, threshold=0.01, frames=None):
+    rows = cut_lineage(corpus.profile_rows(spark, sf_dir, term_frequencies=True, frames=frames), "profiles")
     return rows, resolution.predict(rows, corpus.BLOCKING, corpus.MODEL, threshold)
 
 
@@ -148,8 +148,9 @@ def strong_matches(spark, sf_dir):
 )
 def expanded_pairs(spark, sf_dir):
     """Matches spelled out per record pair."""
-    _, scored = _predictions(spark, sf_dir, 0.9)
-    pairs = resolution.expand_pairs(scored, corpus.records(spark, sf_dir))
+    frames = corpus.stored_snapshots(spark, sf_dir)
+    _, scored = _predictions(spark, sf_dir, 0.9, frames)
+    pairs = resolution.expand_pairs(scored, corpus.records(spark, sf_dir, frames=frames))
     return pairs.select(
         F.least("node_l", "node_r").alias("node_l"), F.greatest("node_l", "node_r").alias("node_r"),
         F.round("match_weight", 6).alias("match_weight"),
@@ -190,10 +191,12 @@ def em_train(spark, sf_dir):
     return trained.to_frame(spark)
 
 
-def link_rows(spark, sf_dir):
-    rows, scored = _predictions(spark, sf_dir, 0.9)
+def link_rows(spark, sf_dir, frames=None):
+    frames = frames or corpus.stored_snapshots(spark, sf_dir)
+    rows, scored = _predictions(spark, sf_dir, 0.9, frames)
+    scored = cut_lineage(scored, "predictions")
     placed = resolution.cluster(rows, scored, 0.9)
-    return resolution.links(corpus.records(spark, sf_dir), placed, corpus.KEYS)
+    return resolution.links(corpus.records(spark, sf_dir, frames=frames), placed, corpus.KEYS)
 
 
 @query("links", f"WITH {corpus.links_sql()} SELECT cluster_id, primary_key_id, primary_key_type, data_source FROM links")

@@ -113,14 +113,15 @@ def _rounded(*names):
 
 def members(spark, sf_dir):
     """Linked source rows, stored once: every merge step reads them more than once."""
-    frames = corpus.snapshots(spark, sf_dir)
+    frames = corpus.stored_snapshots(spark, sf_dir)
     tagged = union_by_name([tag_source(df, key, name) for name, (df, key) in frames.items()])
-    return cut_lineage(survivorship.link_records(tagged, link_rows(spark, sf_dir)), "members")
+    return cut_lineage(survivorship.link_records(tagged, link_rows(spark, sf_dir, frames)), "members")
 
 
 def _ranked(spark, sf_dir):
-    scored = survivorship.score_members(members(spark, sf_dir))
-    return survivorship.with_anchor_agreement(scored, survivorship.pick_anchors(scored))
+    scored = cut_lineage(survivorship.score_members(members(spark, sf_dir)), "scored")
+    ranked = survivorship.with_anchor_agreement(scored, survivorship.pick_anchors(scored))
+    return ranked.where(F.col("reject_reason").isNull())
 
 
 @query(
@@ -151,9 +152,9 @@ def cluster_lists(spark, sf_dir):
 )
 def orphan_members(spark, sf_dir):
     """Rows whose links are missing stay, each as a cluster of its own."""
-    frames = corpus.snapshots(spark, sf_dir)
+    frames = corpus.stored_snapshots(spark, sf_dir)
     tagged = union_by_name([tag_source(df, key, name) for name, (df, key) in frames.items()])
-    partial = link_rows(spark, sf_dir).where("data_source <> 'licenses_registry'")
+    partial = link_rows(spark, sf_dir, frames).where("data_source <> 'licenses_registry'")
     return survivorship.link_records(tagged, partial).select("cluster_id", "composite_id")
 
 
@@ -328,7 +329,7 @@ def run_record(spark, sf_dir):
 def end_to_end(spark, sf_dir):
     """Dedup, training, resolution, merge and publishing in one go."""
     frames = {n: (df.withColumns({"hdiff": F.lit(""), "ldts": F.lit(None).cast("timestamp")}), k)
-              for n, (df, k) in corpus.snapshots(spark, sf_dir).items()}
+              for n, (df, k) in corpus.stored_snapshots(spark, sf_dir).items()}
     settings = ResolutionSettings(
         blocking=corpus.BLOCKING, deterministic=corpus.DETERMINISTIC, training=corpus.TRAINING,
         comparisons=corpus.COMPARISONS, max_random_pairs=100_000,
