@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from recordloom.functions.keys import with_load_metadata
 from recordloom.operators.dedup import first_per_key, tie_break
+from recordloom.session import cut_lineage
 from recordloom.settings import HASH_DIFF
 from recordloom.sources.writers import write_parquet
 
@@ -218,13 +219,20 @@ class HistoryTable:
             return self._live(self.version()).drop(VALID_FROM)
         return as_of(self.history(), version)
 
+    def _open_rows(self, version: int) -> DataFrame:
+        return self._live(version).withColumn(VALID_TO, F.lit(None).cast("bigint"))
+
     def write(self, data: DataFrame) -> int:
-        """Create the table, or upsert ``data`` into it. Returns the new version."""
+        """Create the table, or upsert ``data`` into it. Returns the new version.
+
+        Only the live rows take part; rows closed earlier are neither read nor rewritten.
+        """
         batch = with_load_metadata(data, self.primary_key, self.partition_key)
-        version = self.version() + 1
-        if version == 1:
-            return self._commit(initialise(batch, version), version)
-        return self._commit(upsert(self.history(), batch, self.primary_key, version), version)
+        version = self.version()
+        if version == 0:
+            return self._commit(initialise(batch, 1), 1)
+        merged = upsert(self._open_rows(version), batch, self.primary_key, version + 1)
+        return self._commit(merged, version + 1)
 
     def overwrite(self, data: DataFrame) -> int:
         """Close every live row and start from ``data``; old versions stay readable."""
@@ -233,7 +241,7 @@ class HistoryTable:
         fresh = initialise(batch, version)
         if version == 1:
             return self._commit(fresh, version)
-        old = self.history().withColumn(VALID_TO, F.coalesce(VALID_TO, F.lit(version).cast("bigint")))
+        old = self._live(version - 1).withColumn(VALID_TO, F.lit(version).cast("bigint"))
         return self._commit(old.unionByName(fresh, allowMissingColumns=True), version)
 
     def rollback(self, version: int | None = None, timestamp=None) -> int:
@@ -246,14 +254,18 @@ class HistoryTable:
     def changes(self, since: int = 1) -> DataFrame:
         return change_feed(self.read(version=since), self.read(), self.primary_key)
 
-    def _commit(self, history: DataFrame, version: int) -> int:
-        live = history.where(F.col(VALID_TO).isNull()).drop(VALID_TO)
+    def _commit(self, rows: DataFrame, version: int) -> int:
+        """Store the live rows of ``rows`` and those closed by this version, then the marker."""
+        changed = F.col(VALID_TO).isNull() | (F.col(VALID_TO) == version)
+        # two outputs read the merge, so it runs once
+        rows = cut_lineage(rows.where(changed), "merge")
+        live = rows.where(F.col(VALID_TO).isNull()).drop(VALID_TO)
         if self.partition_key:
             writer = live.hint("rebalance", F.col(self.partition_key)).write.partitionBy(self.partition_key)
         else:
             writer = live.write
         writer.mode("overwrite").parquet(f"{self.path}/current/v={version}")
-        closed = history.where(F.col(VALID_TO) == version)
+        closed = rows.where(F.col(VALID_TO) == version)
         write_parquet(closed, f"{self.path}/closed/v={version}", mode="overwrite")
         marker = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at"),

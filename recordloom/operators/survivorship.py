@@ -114,13 +114,14 @@ def score_members(members: DataFrame) -> DataFrame:
             )
         )
     )
-    # distinct reference rows are enough: the counts of a large cluster are combined map-side
-    long = sized.where(F.col("_size") > 2).select(CLUSTER_ID, COMPOSITE_ID, cells.alias("c")).select(
-        CLUSTER_ID, COMPOSITE_ID, "c.*"
+    # One struct column as the key: the counts must not inherit the partitioning by cluster,
+    # or all cells of a large cluster would be counted in the task that holds the cluster.
+    long = (
+        sized.where(F.col("_size") > 2).select(CLUSTER_ID, COMPOSITE_ID, cells.alias("c"))
+        .select(COMPOSITE_ID, F.struct(CLUSTER_ID, "c.field", "c.value").alias("cell"))
     )
-    agreement = long.groupBy(CLUSTER_ID, "field", "value").agg((F.count(F.lit(1)) - 1).alias("_others"))
-    shared = agreement.where(F.col("_others") > 0)
-    points = long.join(shared, [CLUSTER_ID, "field", "value"]).groupBy(COMPOSITE_ID).agg(F.sum("_others").alias("_points"))
+    agreement = long.groupBy("cell").agg((F.count(F.lit(1)) - 1).alias("_others")).where(F.col("_others") > 0)
+    points = long.join(agreement, "cell").groupBy(COMPOSITE_ID).agg(F.sum("_others").alias("_points"))
 
     scored = sized.join(points, COMPOSITE_ID, "left")
     possible = F.col("_populated") * (F.col("_size") - 1)
@@ -270,10 +271,12 @@ def nest_children(
     """
     sizes = children.groupBy(CLUSTER_ID).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("_parts"))
     part = F.pmod(F.xxhash64(*(spread or fields)), F.col("_parts")).cast("int")
+    # grouped by one struct column, so that the parts of a large cluster go to different tasks
     grouped = (
-        children.join(sizes, CLUSTER_ID).withColumn("part", part)
-        .groupBy(CLUSTER_ID, "part")
+        children.join(sizes, CLUSTER_ID).withColumn("key", F.struct(F.col(CLUSTER_ID), part.alias("part")))
+        .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct(rank.alias("_rank"), *fields))).alias("_items"))
+        .select("key.*", "_items")
     )
     items = F.transform("_items", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
     return grouped.select(CLUSTER_ID, "part", items.alias(name))
