@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from recordloom.functions.text import strip
+from recordloom.functions.text import let, strip
 
 DATE_TYPE = "struct<year:int,month:int,day:int>"
 
@@ -40,16 +40,19 @@ def _first_parse(text: Column, formats) -> Column:
 
 def parse_partial_date(value: Column) -> Column:
     """Struct for a parsed value, null for null or unparseable input."""
+
+    def parse(t: Column) -> Column:
+        year = F.when(t.rlike(YEAR_SHAPE), t.cast("int"))
+        day, month = _first_parse(t, DAY_FORMATS), _first_parse(t, MONTH_FORMATS)
+        return let(F.struct(day.alias("d"), month.alias("m"), year.alias("y"), t.rlike(TWO_DIGIT_YEAR).alias("short")), parts)
+
+    def parts(x: Column) -> Column:
+        found = F.coalesce(x["d"], x["m"])
+        year = F.year(found) - F.when(x["short"] & (F.year(found) >= TWO_DIGIT_PIVOT), 100).otherwise(0)
+        return partial_date(F.coalesce(year, x["y"]), F.month(found), F.dayofmonth(x["d"]))
+
     text = F.regexp_replace(strip(value.cast("string")), r"^(.*?\d{1,2})(?:st|nd|rd|th)\b", "$1")
-    day = _first_parse(text, DAY_FORMATS)
-    two_digits = text.rlike(TWO_DIGIT_YEAR) & (F.year(day) >= TWO_DIGIT_PIVOT)
-    day = F.when(two_digits, F.add_months(day, -1200)).otherwise(day)
-    month = _first_parse(text, MONTH_FORMATS)
-    year = F.when(text.rlike(YEAR_SHAPE), text.cast("int"))
-    parsed = F.coalesce(day, month)
-    return partial_date(
-        F.coalesce(F.year(parsed), year), F.month(parsed), F.dayofmonth(day)
-    )
+    return let(text, parse)
 
 
 def partial_date(year: Column, month: Column, day: Column) -> Column:

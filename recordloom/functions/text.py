@@ -61,3 +61,8 @@ def min_length(c: Column, n: int) -> Column:
 
 def null_if_blank(c: Column) -> Column:
     return F.when(strip(c) != "", c)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)

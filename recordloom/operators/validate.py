@@ -60,6 +60,8 @@ def validate(raw: DataFrame, spec: SourceSpec) -> Validated:
     if "_corrupt_record" in raw.columns:
         early.append(("corrupt_record", F.col("_corrupt_record").isNotNull()))
     early_codes = reject_reasons(early) if early else F.array().cast("array<string>")
+    if spec.derived:
+        df = df.withColumns({n: e() for n, e in spec.derived.items()})
     clean = df.select("raw", early_codes.alias("_early"), *[e().alias(n) for n, e in spec.columns.items()])
     for apply in spec.lookups:
         clean = apply(clean)

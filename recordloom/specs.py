@@ -27,6 +27,7 @@ class SourceSpec:
     """Everything the load, dedup, resolution and audit jobs need to know about a source.
 
     ``columns`` maps canonical names to expressions over the raw (all-string) columns.
+    ``derived`` names intermediate values that several of them use, computed once per row.
     ``raw_rejects`` see the raw columns, ``rejects`` the canonical ones.
     ``lookups`` are applied to the cleaned frame (for example a code-to-label join).
     """
@@ -36,6 +37,7 @@ class SourceSpec:
     primary_key: tuple[str, ...]
     schema: T.StructType
     columns: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     partition_key: str | None = None
     raw_header: tuple[str, ...] = ()
     rejects: tuple[Reject, ...] = ()
@@ -151,14 +153,15 @@ def licenses_registry(
         partition_key="city",
         weight_column="naics_code",
         schema=LICENSE_SCHEMA,
+        derived={"_location": lambda: location},
         raw_header=("LICENSE_NUM", "COMPANY NAME", "HQ LOCATION", "NAICS CODE", "CERT_EXPIRY_DATE"),
         columns={
             "license_id": lambda: text.normalize_id(_raw("LICENSE_NUM")),
             "company_name": lambda: name,
             "company_name_normalized": lambda: text.normalize_company_name(name),
-            "address_1": lambda: location["address_1"],
-            "postal_code": lambda: location["postal_code"],
-            "city": lambda: location["city"],
+            "address_1": lambda: F.col("_location.address_1"),
+            "postal_code": lambda: F.col("_location.postal_code"),
+            "city": lambda: F.col("_location.city"),
             "naics_code": lambda: _raw("NAICS CODE"),
             "naics_code_label": lambda: F.lit(None).cast("string"),
             "expiration_date": lambda: dates.parse_partial_date(_raw("CERT_EXPIRY_DATE")),

@@ -137,6 +137,11 @@ def profile_rows(spark, sf_dir, link_type="link_and_dedupe", term_frequencies=Fa
     return with_term_frequencies(rows, COMPARISONS, "n_records") if term_frequencies else rows
 
 
+def stored_profiles(spark, sf_dir, link_type="link_and_dedupe", term_frequencies=False):
+    """Profiles as a written table: every blocking rule reads them on both sides of its join."""
+    return cut_lineage(profile_rows(spark, sf_dir, link_type, term_frequencies), "profiles")
+
+
 # ------------------------------------------------------------------ expected results in SQL
 
 

@@ -37,14 +37,14 @@ def block_stats(spark, sf_dir):
 @query("candidate_pairs", f"WITH {corpus.pairs_sql()} SELECT rule, pid_l, pid_r, n_pairs FROM pairs")
 def candidate_pairs(spark, sf_dir):
     """Folded candidate pairs; the weights add up to the number of record pairs."""
-    pairs = blocking.all_pairs(corpus.profile_rows(spark, sf_dir), corpus.BLOCKING)
+    pairs = blocking.all_pairs(corpus.stored_profiles(spark, sf_dir), corpus.BLOCKING)
     return pairs.select("rule", *_ids(), "n_pairs")
 
 
 @query("candidate_pairs_sliced", f"WITH {corpus.pairs_sql()} SELECT rule, pid_l, pid_r, n_pairs FROM pairs")
 def candidate_pairs_sliced(spark, sf_dir):
     """The same with hot blocks spread over cells of at most 8 rows a side."""
-    pairs = blocking.all_pairs(corpus.profile_rows(spark, sf_dir), corpus.BLOCKING, cell_rows=8)
+    pairs = blocking.all_pairs(corpus.stored_profiles(spark, sf_dir), corpus.BLOCKING, cell_rows=8)
     return pairs.select("rule", *_ids(), "n_pairs")
 
 
@@ -54,7 +54,7 @@ def candidate_pairs_sliced(spark, sf_dir):
     SELECT rule, pid_l, pid_r, n_pairs FROM pairs""",
 )
 def pairs_across_sources(spark, sf_dir):
-    rows = corpus.profile_rows(spark, sf_dir, "link")
+    rows = corpus.stored_profiles(spark, sf_dir, "link")
     return blocking.all_pairs(rows, corpus.BLOCKING, "link").select("rule", *_ids(), "n_pairs")
 
 
@@ -64,7 +64,7 @@ def pairs_across_sources(spark, sf_dir):
     SELECT rule, pid_l, pid_r, n_pairs FROM pairs""",
 )
 def pairs_within_sources(spark, sf_dir):
-    rows = corpus.profile_rows(spark, sf_dir, "dedupe")
+    rows = corpus.stored_profiles(spark, sf_dir, "dedupe")
     return blocking.all_pairs(rows, corpus.BLOCKING, "dedupe").select("rule", *_ids(), "n_pairs")
 
 
@@ -73,7 +73,7 @@ def pairs_within_sources(spark, sf_dir):
     f"WITH {corpus.pairs_sql(corpus.DETERMINISTIC)} SELECT rule, CAST(sum(n_pairs) AS BIGINT) AS n_pairs FROM pairs GROUP BY 1",
 )
 def deterministic_pairs(spark, sf_dir):
-    return blocking.count_pairs(blocking.all_pairs(corpus.profile_rows(spark, sf_dir), corpus.DETERMINISTIC))
+    return blocking.count_pairs(blocking.all_pairs(corpus.stored_profiles(spark, sf_dir), corpus.DETERMINISTIC))
 
 
 _TF_COLUMNS = ("entity_id", "company_name_normalized", "address_1")
@@ -97,7 +97,7 @@ def term_frequencies(spark, sf_dir):
 
 @query("comparison_vectors", f"WITH {corpus.vectors_sql()} SELECT pid_l, pid_r, {', '.join(_GAMMAS)} FROM vec")
 def comparison_vectors(spark, sf_dir):
-    pairs = blocking.all_pairs(corpus.profile_rows(spark, sf_dir), corpus.BLOCKING)
+    pairs = blocking.all_pairs(corpus.stored_profiles(spark, sf_dir), corpus.BLOCKING)
     return model.comparison_vectors(pairs, corpus.COMPARISONS).select(*_ids(), *_GAMMAS)
 
 
@@ -106,7 +106,7 @@ def comparison_vectors(spark, sf_dir):
     f"WITH {corpus.vectors_sql()} SELECT {', '.join(_GAMMAS)}, CAST(sum(n_pairs) AS BIGINT) AS n FROM vec GROUP BY ALL",
 )
 def pattern_counts(spark, sf_dir):
-    pairs = blocking.all_pairs(corpus.profile_rows(spark, sf_dir), corpus.BLOCKING)
+    pairs = blocking.all_pairs(corpus.stored_profiles(spark, sf_dir), corpus.BLOCKING)
     return training.pattern_counts(pairs, corpus.COMPARISONS)
 
 
@@ -166,7 +166,7 @@ def expanded_pairs(spark, sf_dir):
 )
 def prior_estimate(spark, sf_dir):
     out = training.estimate_prior(
-        corpus.records(spark, sf_dir), corpus.profile_rows(spark, sf_dir), corpus.DETERMINISTIC
+        corpus.records(spark, sf_dir), corpus.stored_profiles(spark, sf_dir), corpus.DETERMINISTIC
     )
     return out.withColumn("prior", F.round("prior", 12))
 
