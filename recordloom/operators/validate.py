@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.text import empty_to_null
+from recordloom.session import cut_lineage
 from recordloom.specs import SourceSpec
 
 REASONS = "reject_reasons"
@@ -39,6 +40,12 @@ class Validated:
     tagged: DataFrame
     spec: SourceSpec
 
+    def stored(self) -> "Validated":
+        """The same over a written table. Both outputs and the metrics read it, so every row is
+        cleaned once; without it each of them would clean the rows again, and a filter on the
+        reasons would even do so twice."""
+        return Validated(cut_lineage(self.tagged, f"validated-{self.spec.name}"), self.spec)
+
     @property
     def valid(self) -> DataFrame:
         return self.tagged.where(F.size(REASONS) == 0).select("clean.*")

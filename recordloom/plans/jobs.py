@@ -64,12 +64,7 @@ def bronze_to_silver(spark: SparkSession, path: str, specs: Sequence[SourceSpec]
     if spec is None:
         raise ValueError(f"no source matches {path!r}")
     checked = validate(read_any(spark, path, spec.raw_schema if path.endswith(".csv") else None), spec)
-    return load_validated(spark, cut_tagged(checked), layout)
-
-
-def cut_tagged(checked):
-    """Both outputs read the cleaned rows, so they are computed once and stored."""
-    return type(checked)(cut_lineage(checked.tagged, f"validated-{checked.spec.name}"), checked.spec)
+    return load_validated(spark, checked.stored(), layout)
 
 
 def load_validated(spark: SparkSession, checked, layout: Layout) -> dict:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from recordloom.operators.sampling import sample_scores, top_scores
 from recordloom.operators.validate import validate
-from recordloom.plans.jobs import Layout, cut_tagged, load_validated
+from recordloom.plans.jobs import Layout, load_validated
 from recordloom.settings import SAMPLE_ROWS
 from recordloom.sources.readers import CORRUPT, with_corrupt
 from recordloom.specs import SourceSpec
@@ -42,7 +42,7 @@ def ingest_bronze(
     """Validate and upsert new raw files. The upsert is idempotent, so a replayed batch changes nothing."""
 
     def load(batch: DataFrame, _: int) -> None:
-        load_validated(batch.sparkSession, cut_tagged(validate(batch, spec)), layout)
+        load_validated(batch.sparkSession, validate(batch, spec).stored(), layout)
 
     run_available(raw_stream(spark, path, "csv", spec.raw_schema, archive), load, checkpoint)
 

@@ -277,13 +277,13 @@ def _raw_orders(spark, sf_dir):
     """,
 )
 def validate_split(spark, sf_dir):
-    valid = validate.validate(_raw_orders(spark, sf_dir), ORDER_SPEC).valid
+    valid = validate.validate(_raw_orders(spark, sf_dir), ORDER_SPEC).stored().valid
     return valid.select("order_id", "customer", "status", F.col("total").cast("string").alias("total"), "ordered.*")
 
 
 @query("quarantine", f"WITH {_RAW_ORDERS_SQL} SELECT * FROM checked WHERE reasons <> ''")
 def quarantine(spark, sf_dir):
-    rejected = validate.validate(_raw_orders(spark, sf_dir), ORDER_SPEC).rejected
+    rejected = validate.validate(_raw_orders(spark, sf_dir), ORDER_SPEC).stored().rejected
     return rejected.withColumn("reasons", F.array_join("reject_reasons", ",")).drop("reject_reasons")
 
 
