@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from recordloom.functions.text import empty_to_null
 from recordloom.session import cut_lineage
 from recordloom.specs import SourceSpec
 
@@ -90,13 +89,3 @@ def load_metrics(df: DataFrame, is_valid: Column) -> DataFrame:
         F.count_if(is_valid).alias("success"),
         F.count_if(~is_valid).alias("failure"),
     )
-
-
-def blank_to_null(df: DataFrame) -> DataFrame:
-    """Empty strings in string columns become null."""
-    return df.select(
-        *[
-            empty_to_null(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-            for f in df.schema
-        ]
-    )

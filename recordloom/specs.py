@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -69,7 +70,7 @@ def _raw(name: str) -> Column:
     return text.strip(text.empty_to_null(F.col(f"`{name}`")))
 
 
-# The ten column types of the three silver tables.
+# Columns, types and nullability of the three silver tables.
 ENTITY_SCHEMA = T.StructType(
     [
         T.StructField("entity_id", T.StringType(), False),
@@ -212,6 +213,4 @@ def route(path: str | Column, patterns: Sequence[tuple[str, str]]) -> Column:
 
 def spec_for_path(path: str, specs: Sequence[SourceSpec]) -> SourceSpec | None:
     """Driver-side routing of one path to its source."""
-    import re
-
     return next((s for s in specs if re.search(s.path_pattern, path, re.IGNORECASE)), None)

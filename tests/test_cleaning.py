@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from recordloom.functions import dates, lookup, text
 from recordloom.functions.abbreviations import expand_abbreviations
 from recordloom.functions.address import clean_street, parse_location

@@ -1,7 +1,6 @@
 import csv
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from recordloom.operators import audit as audits

@@ -2,7 +2,6 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from recordloom.operators import gold, survivorship
