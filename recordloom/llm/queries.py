@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import contamination, language, near_dedup
+from recordloom.llm import contamination, language, language_model, license_scan, mixture, near_dedup
 from recordloom.llm.tables import crc_fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,11 +29,22 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _PLAIN_WORDS = rf"list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 
 
+@query("op1_language_model")
+def op1(spark, sf_dir):
+    found = language_model.score(table(spark, sf_dir, "documents"), crc_fold("doc_id", 7) != 2)
+    return found.select("doc_id", (crc_fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op3_near_duplicates")
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4, similarity_pct=80)
 
 
+@query("op4_licenses")
+def op4(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 CONTAMINATION_SQL = f"""
     WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
     i AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
@@ -55,6 +66,26 @@ def op7(spark, sf_dir):
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Targets by filling up to the level at which the weights of the sources not yet stopped share the rest.
+MIXTURE_SQL = rf"""
+    WITH d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size,
+        md5('7:' || CAST(doc_id AS VARCHAR)) AS k FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+    l AS (SELECT *, ((SELECT sum(source_size) FROM s) - coalesce((SELECT sum(3 * source_size) FROM s b WHERE 3 * b.source_size / b.w < 3 * a.source_size / a.w), 0))
+        / ((SELECT sum(w) FROM s) - coalesce((SELECT sum(w) FROM s b WHERE 3 * b.source_size / b.w < 3 * a.source_size / a.w), 0)) AS lev FROM s a),
+    t AS (SELECT source, source_size, least(3.0 * source_size, w * coalesce((SELECT min(lev) FROM l WHERE lev * w < 3 * source_size), 1e300)) AS target FROM l),
+    p AS (SELECT doc_id, size, source_size, target, least(3 * source_size, floor(target + 0.5)::BIGINT) AS want,
+        sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS a
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target::DOUBLE AS target, CAST(greatest(0, least(size, want - a)) + greatest(0, least(size, want - a - source_size))
+        + greatest(0, least(size, want - a - 2 * source_size)) AS BIGINT) AS taken FROM p"""
+
+
+@query("op9_mixture", MIXTURE_SQL)
+def op9(spark, sf_dir):
+    return mixture.mix(table(spark, sf_dir, "documents")).docs.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op10_language")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
