@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import contamination, language, language_model, license_scan, mixture, near_dedup
+from recordloom.llm import contamination, html_text, language, language_model, license_scan, mixture, near_dedup, toxicity
 from recordloom.llm.tables import crc_fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op1(spark, sf_dir):
     return found.select("doc_id", (crc_fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold("doc_id", 4) != 2)
+    return found.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op3_near_duplicates")
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4, similarity_pct=80)
@@ -45,6 +51,11 @@ def op4(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query("op6_html_text")
+def op6(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 CONTAMINATION_SQL = f"""
     WITH d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
     i AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
