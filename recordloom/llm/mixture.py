@@ -52,7 +52,7 @@ def source_targets(sized: DataFrame) -> DataFrame:
     return leveled.withColumn("rest", rest).select("source", "source_id", "source_size", "weight", target.alias("target"))
 
 
-def _running(df: DataFrame, keys: list[str], part: str, value: str, order: list) -> DataFrame:
+def running(df: DataFrame, keys: list[str], part: str, value: str, order: list) -> DataFrame:
     """``df`` with ``start``: the sum of ``value`` over the rows of the same ``keys`` that come before.
 
     Parts are summed first and only within a part are rows sorted, so no task holds a whole group.
@@ -97,7 +97,7 @@ def mix(docs: DataFrame) -> Mix:
     point = F.col("id") * F.lit(_GOLDEN) - F.floor(F.col("id") * F.lit(_GOLDEN))
     points = spark.range(-(-total // block)).select(F.col("id").alias("slot"), point.alias("u")).withColumn("cell", F.floor(F.col("u") * _CELLS).cast("long"))
     dealt = points.join(spans, "cell").where("u >= low AND u < high").select("slot", "source_id", "owed", (F.col("slot") / _CHUNK).cast("long").alias("chunk"), F.lit(1).alias("one"))
-    ranked = _running(dealt, ["source_id"], "chunk", "one", [F.col("slot")]).select("source_id", "slot", F.col("start").alias("rank"), "owed").where("rank < owed").drop("owed")
+    ranked = running(dealt, ["source_id"], "chunk", "one", [F.col("slot")]).select("source_id", "slot", F.col("start").alias("rank"), "owed").where("rank < owed").drop("owed")
     ranked = cut_lineage(ranked, "llm-slots")
     given = ranked.groupBy("source_id").agg(F.count("*").alias("given"))
     late = goal.join(given, "source_id", "left").withColumn("given", F.coalesce("given", F.lit(0))).where("given < owed")
@@ -107,7 +107,7 @@ def mix(docs: DataFrame) -> Mix:
     # documents' places in the repeated stream, cut at block edges
     owner = goal.withColumnRenamed("source", "of")
     placed = sized.join(F.broadcast(owner), F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("part", F.substring("order", 1, 3))
-    placed = cut_lineage(_running(placed, ["source_id"], "part", "size", [F.col("order"), F.col("doc_id"), F.col("h"), F.col("row")]), "llm-placed")
+    placed = cut_lineage(running(placed, ["source_id"], "part", "size", [F.col("order"), F.col("doc_id"), F.col("h"), F.col("row")]), "llm-placed")
     passes = F.transform(F.array(*map(F.lit, range(MOST_PASSES))), lambda p: F.col("start") + p * F.col("source_size"))
     again = placed.where("size > 0").select("row", "source_id", "size", "want", F.explode(passes).alias("at")).where("at < want")
     till = F.least(F.col("at") + F.col("size"), F.col("want"))

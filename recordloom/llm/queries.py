@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordloom.llm import contamination, html_text, language, language_model, license_scan, mixture, near_dedup, toxicity
+from recordloom.llm import contamination, html_text, language, language_model, license_scan, mixture, near_dedup, neighbours, token_blocks, toxicity
 from recordloom.llm.tables import crc_fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,13 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return add
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer's file; every node has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 #: A-Z lower-cased, nothing else.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN_WORDS = rf"list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
@@ -51,6 +58,11 @@ def op4(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query("op5_neighbours")
+def op5(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op6_html_text")
 def op6(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -77,6 +89,11 @@ def op7(spark, sf_dir):
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op8_token_blocks")
+def op8(spark, sf_dir):
+    return token_blocks.token_ids(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 #: Targets by filling up to the level at which the weights of the sources not yet stopped share the rest.
 MIXTURE_SQL = rf"""
     WITH d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size,
