@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from recordloom.llm import contamination, language, near_dedup
+from recordloom.llm import contamination, language, mixture, near_dedup, token_blocks
+from recordloom.llm.queries import tokenizer_path
 from recordloom.llm.tables import crc_fold, cut_lineage, table
 
 #: No SQL can follow the byte models and the coder; the tests use brute force.
@@ -35,10 +36,22 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return contamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mixture takes it; the last copy of a source is cut to what is due."""
+    return mixture.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in coded blocks, read back: a row per document of the mixture."""
+    return token_blocks.token_ids(docs, tokenizer_path())
+
+
 STAGES = [
     ("language", identify_language),
     ("near copies", drop_near_copies),
     ("contamination", decontaminate),
+    ("mixture", mix_sources),
+    ("token blocks", encode),
 ]
 
 
