@@ -47,7 +47,9 @@ def source_targets(sized: DataFrame) -> DataFrame:
     before = every.orderBy(F.col("most") / F.col("weight"), "source_id").rowsBetween(Window.unboundedPreceding, -1)
     level = (F.sum("source_size").over(every) - F.coalesce(F.sum("most").over(before), F.lit(0))) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
     leveled = named.withColumn("level", level)
-    rest = F.min(F.when(F.col("level") * F.col("weight") < F.col("most"), F.col("level"))).over(every)
+    # the first source in that order that stays below its most sets the level of the rest
+    place = F.when(F.col("level") * F.col("weight") < F.col("most"), F.struct(F.col("most") / F.col("weight"), "source_id"))
+    rest = F.min_by("level", place).over(every)
     target = F.when(F.coalesce(F.col("rest") * F.col("weight") < F.col("most"), F.lit(False)), F.col("rest") * F.col("weight")).otherwise(F.col("most").cast("double"))
     return leveled.withColumn("rest", rest).select("source", "source_id", "source_size", "weight", target.alias("target"))
 

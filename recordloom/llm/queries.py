@@ -101,7 +101,7 @@ MIXTURE_SQL = rf"""
     s AS (SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
     l AS (SELECT *, ((SELECT sum(source_size) FROM s) - coalesce((SELECT sum(3 * source_size) FROM s b WHERE 3 * b.source_size / b.w < 3 * a.source_size / a.w), 0))
         / ((SELECT sum(w) FROM s) - coalesce((SELECT sum(w) FROM s b WHERE 3 * b.source_size / b.w < 3 * a.source_size / a.w), 0)) AS lev FROM s a),
-    t AS (SELECT source, source_size, least(3.0 * source_size, w * coalesce((SELECT min(lev) FROM l WHERE lev * w < 3 * source_size), 1e300)) AS target FROM l),
+    t AS (SELECT source, source_size, least(3.0 * source_size, w * coalesce((SELECT arg_min(lev, 3 * source_size / w) FROM l WHERE lev * w < 3 * source_size), 1e300)) AS target FROM l),
     p AS (SELECT doc_id, size, source_size, target, least(3 * source_size, floor(target + 0.5)::BIGINT) AS want,
         sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS a
         FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
