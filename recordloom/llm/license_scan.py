@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from recordloom.llm.tables import cut_lineage
+
 #: The phrases of the base and their labels.
 PHRASES = (
     ("cc-by", "cc by"),
@@ -64,6 +66,7 @@ def spans(docs: DataFrame) -> DataFrame:
     diagonal = hit.groupBy("doc_id", "h", "template", "label", "base", "pairs", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.bit_or("bit").alias("mask"), F.min("pos").alias("first"), F.max(F.col("pos") + 1).alias("last")
     )
+    diagonal = cut_lineage(diagonal, "llm-diagonals")  # few rows, read twice
     base = diagonal.where("base AND bit_count(mask) = pairs").select("doc_id", "h", "template", "label", "base", F.col("diagonal").alias("first"), "last", F.lit(1.0).alias("cover"))
     own = Window.partitionBy("doc_id", "h", "template").orderBy("first", "diagonal")
     fresh = (F.col("first") > F.lag("last").over(own) + SLACK) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(own)) > SLACK)
