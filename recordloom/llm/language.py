@@ -22,7 +22,7 @@ def _keys(data: np.ndarray, fresh: np.ndarray, length: int) -> tuple[np.ndarray,
     """Packed ``length``-byte strings ending at each position, and where they lie in one text.
     ``fresh`` is each position's index within its text."""
     out = np.zeros(len(data), dtype=np.uint64)
-    for j in range(length):
+    for j in range(min(length, len(data))):
         out[j:] |= data[:len(data) - j].astype(np.uint64) << np.uint64(8 * j)
     return out, fresh >= length - 1
 
@@ -164,7 +164,7 @@ def train(rows: DataFrame) -> ByteModels | None:
                         keys, whole = _keys(part.data, fresh, k + 1)
                         value, n = np.unique(keys[whole] & np.uint64((1 << 8 * (k + 1)) - 1), return_counts=True)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(value)), pa.array(np.full(len(value), k, np.int32)), pa.array(value.astype(np.int64)), pa.array(n.astype(np.int64))],
+                            [pa.array([lang] * len(value), pa.string()), pa.array(np.full(len(value), k, np.int32)), pa.array(value.astype(np.int64)), pa.array(n.astype(np.int64))],
                             names=["lang", "k", "key", "n"],
                         )
 
