@@ -28,7 +28,7 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 #: Share of a template's word pairs that a merged span must hold to give its label.
-LEAST_COVER = 0.7
+LEAST_COVER = 0.8
 #: Words by which neighbouring diagonals may differ and their spans lie apart.
 SLACK = 3
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
