@@ -12,8 +12,10 @@ from recordloom.llm.graph import components
 from recordloom.llm.tables import cut_lineage, texts
 from recordloom.llm.words import SPACED, Slice, grams, map_batches, mix64, slices, words
 
-#: Bands of so many rows: a pair at similarity 0.8 shares no band with probability 2e-6.
-BANDS, ROWS = 25, 4
+#: Bands of so many rows: a pair at similarity 0.8 shares no band with probability 1e-6.
+BANDS, ROWS = 26, 4
+#: Coordinates whose lowest four bits are kept as a sketch, sixteen in a long.
+SKETCH = 208
 LEADER_ROUNDS = 2
 _BLOCK = 2048
 
@@ -64,10 +66,11 @@ def shingle_sets(part: Slice, k: int) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands``: a digest of the set and one key per band; empty sets have neither."""
+    """``doc_id, n_shingles, digest, bands, sketch``: a digest of the set, one key per band and the
+    lowest bits of each coordinate; empty sets have none of them."""
 
     def one(batch: pa.RecordBatch) -> dict[str, object]:
-        n, digest, keys = [], [], []
+        n, digest, keys, sketch = [], [], [], []
         seeds = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
         for part in slices(batch.column("text")):
             for s in shingle_sets(part, k):
@@ -75,16 +78,35 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 if not len(s):
                     digest.append(None)
                     keys.append(None)
+                    sketch.append(None)
                     continue
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                rows = circulant_signature(s, BANDS * ROWS).reshape(BANDS, ROWS).astype(np.uint64)
+                coordinates = circulant_signature(s, SKETCH)
+                bits = (coordinates & np.uint32(15)).astype(np.uint8)
+                sketch.append((bits[0::2] | bits[1::2] << 4).view(np.int64))
+                rows = coordinates[:BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
                 key = seeds.copy()
                 for j in range(ROWS):
                     key = mix64(key ^ rows[:, j]) + np.uint64(j)
                 keys.append(key.view(np.int64))
-        return {"n_shingles": n, "digest": digest, "bands": keys}
+        return {"n_shingles": n, "digest": digest, "bands": keys, "sketch": sketch}
 
-    return map_batches(texts(docs), one, "n_shingles long, digest binary, bands array<long>", keep=["doc_id"])
+    return map_batches(texts(docs), one, "n_shingles long, digest binary, bands array<long>, sketch array<long>", keep=["doc_id"])
+
+
+def may_be_similar(similarity_pct: int):
+    """Whether so many of the sketches ``s0, s1, ...`` and ``t0, t1, ...`` agree that the similarity may be
+    reached: 4.6 standard deviations below what is expected at the threshold, so 2e-6 of the true pairs are lost."""
+    p = similarity_pct / 100
+    p += (1 - p) / 16
+    least = int(SKETCH * p - 4.6 * (SKETCH * p * (1 - p)) ** 0.5)
+    differ = F.lit(0)
+    for i in range(SKETCH // 16):
+        x = F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return differ <= SKETCH - least
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity_pct: int) -> DataFrame:
@@ -165,9 +187,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
         if step < LEADER_ROUNDS:
             pairs = named.join(heads, "key").where("component <> other").select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
         else:
-            open_rows = cut_lineage(named.join(heads.select("key"), "key", "left_semi"), "llm-rest")
-            other = open_rows.withColumnsRenamed({"doc_id": "b", "component": "other"})
-            pairs = open_rows.withColumnRenamed("doc_id", "a").join(other, "key").where("component < other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            parts = range(SKETCH // 16)
+            sketches = reps.select("doc_id", *[F.col("sketch")[i].alias(f"s{i}") for i in parts])
+            open_rows = named.join(heads.select("key", F.col("other").alias("main")), "key").join(sketches, "doc_id")
+            open_rows = cut_lineage(open_rows, "llm-rest")
+            other = open_rows.select(F.col("key").alias("k2"), F.col("doc_id").alias("b"), F.col("component").alias("other"), *[F.col(f"s{i}").alias(f"t{i}") for i in parts])
+            apart = (F.col("other") == F.col("main")) | (F.col("component") < F.col("other"))
+            pairs = (
+                open_rows.where("component <> main").withColumnRenamed("doc_id", "a")
+                .join(other, (F.col("key") == F.col("k2")) & apart & may_be_similar(similarity_pct))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            )
         pairs = pairs.distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
