@@ -122,8 +122,9 @@ def audit(df: DataFrame, rules: Sequence[AuditRule]) -> DataFrame:
         which = F.explode(
             F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.column).alias("name")) for i, r in unique_rules])
         ).alias("w")
-        wanted = per_column.withColumn("w", which).where(F.col("w.name") == F.col("name"))
-        parts.append(wanted.select("w.rule", "good", "seen"))
+        # from the rules, so that a table without rows has its results too
+        wanted = df.sparkSession.range(1).select(which).select("w.rule", "w.name").join(per_column, "name", "left")
+        parts.append(wanted.select("rule", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("seen", F.lit(0)).alias("seen")))
     counts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     described = F.element_at(
         F.array(

@@ -13,22 +13,22 @@ SCORE = "sample_score"
 MAX_WEIGHT = 100.0
 
 
-def check_weights(weights: Mapping[str, float]) -> dict[str, float]:
-    """A negative weight is an error, a very large one is capped."""
+def check_weights(weights: Mapping[str, float], most: float | None = MAX_WEIGHT) -> dict[str, float]:
+    """A negative weight is an error. ``most`` caps large ones; sampling itself uses them as they are."""
     negative = {k: w for k, w in weights.items() if w < 0}
     if negative:
         raise ValueError(f"negative sample weights: {negative}")
-    return {k: min(float(w), MAX_WEIGHT) for k, w in weights.items()}
+    return {k: float(w) if most is None else min(float(w), most) for k, w in weights.items()}
 
 
 def weight_of(value: Column, weights: Mapping[str, float], default: float = 1.0) -> Column:
     """Weight of a value; unmapped values get the default."""
-    pairs = check_weights(weights)
+    pairs = check_weights(weights, most=None)
     if default < 0:
         raise ValueError("negative default weight")
     lookup = F.create_map(*[F.lit(x) for p in pairs.items() for x in p]) if pairs else None
     found = F.try_element_at(lookup, value.cast("string")) if pairs else F.lit(None)
-    return F.coalesce(found, F.lit(min(float(default), MAX_WEIGHT)))
+    return F.coalesce(found, F.lit(float(default)))
 
 
 def sample_scores(

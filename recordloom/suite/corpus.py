@@ -12,9 +12,10 @@ from pyspark.sql import Column, functions as F
 
 from recordloom.functions.text import empty_to_null, strip
 from recordloom.operators.align import align_sources
-from recordloom.operators.blocking import block_on, profiles, with_profile_id
+from recordloom.operators.blocking import profiles, with_profile_id
 from recordloom.operators.dedup import dedup_ranked
 from recordloom.operators.model import MatchModel, exact_match, jaro_winkler_at, with_term_frequencies
+from recordloom.plans.settings_er import ResolutionSettings
 from recordloom.session import cut_lineage
 from recordloom.suite.base import table
 
@@ -27,19 +28,10 @@ KEYS = {
     "sub_contractors_registry": "vendor_id",
 }
 
-# Rules, comparisons and given parameters of the match model.
-BLOCKING = (
-    block_on("entity_id"),
-    block_on("company_name_normalized"),
-    block_on(("company_name_normalized", 4), "city", ("address_1", 4)),
-    block_on(("company_name_normalized", 6), "city"),
-)
-DETERMINISTIC = (
-    block_on("entity_id"),
-    block_on("company_name_normalized", "city"),
-    block_on("company_name_normalized", ("address_1", 5)),
-)
-TRAINING = (block_on("company_name_normalized"), block_on("entity_id"), block_on(("company_name_normalized", 6), "city"))
+BLOCKING = ResolutionSettings.blocking
+DETERMINISTIC = ResolutionSettings.deterministic
+TRAINING = ResolutionSettings.training
+# Comparisons and given parameters of the match model.
 COMPARISONS = (
     exact_match("entity_id", term_frequency=True),
     jaro_winkler_at("company_name_normalized", term_frequency=True),

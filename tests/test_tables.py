@@ -133,3 +133,18 @@ def test_audit(spark):
         audit.bind(["a"], [audit.RuleSet(("*",), ())])
     with pytest.raises(ValueError):
         audit.audit(df, [])
+
+
+def test_audit_of_an_empty_table_has_every_rule(spark):
+    from recordloom.operators import audit
+
+    empty = spark.createDataFrame([], "k string, city string")
+    kinds = [audit.AuditRule("not_null", column="k"), audit.AuditRule("unique", column="k")]
+    got = sorted((r["rule"], r.seen, r.success) for r in audit.audit(empty, kinds).collect())
+    assert got == [("not_null", 0, True), ("unique", 0, True)]
+
+
+def test_large_weights_are_used_as_they_are():
+    from recordloom.operators.sampling import check_weights
+
+    assert check_weights({"a": 1e6}, most=None) == {"a": 1e6}
