@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from recordloom.llm.graph import components
 from recordloom.llm.tables import cut_lineage, texts
@@ -14,9 +14,12 @@ from recordloom.llm.words import SPACED, Slice, grams, map_batches, mix64, slice
 
 #: Bands of so many rows: a pair at similarity 0.8 shares no band with probability 1e-6.
 BANDS, ROWS = 26, 4
-#: Coordinates whose lowest four bits are kept as a sketch, sixteen in a long.
+#: Coordinates whose lowest bit is kept as a sketch, sixty-four in a long.
 SKETCH = 208
+#: Longs of the bitmap into which each shingle of a set is hashed.
+BITMAP = 16
 LEADER_ROUNDS = 2
+_SKETCH_LONGS = -(-SKETCH // 64)
 _BLOCK = 2048
 
 
@@ -66,11 +69,11 @@ def shingle_sets(part: Slice, k: int) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands, sketch``: a digest of the set, one key per band and the
-    lowest bits of each coordinate; empty sets have none of them."""
+    """``doc_id, n_shingles, digest, bands, sketch, bitmap``: a digest of the set, one key per band, the
+    lowest bit of each coordinate and a bitmap of the set; empty sets have none of them."""
 
     def one(batch: pa.RecordBatch) -> dict[str, object]:
-        n, digest, keys, sketch = [], [], [], []
+        n, digest, keys, sketch, bitmap = [], [], [], [], []
         seeds = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
         for part in slices(batch.column("text")):
             for s in shingle_sets(part, k):
@@ -79,34 +82,52 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     digest.append(None)
                     keys.append(None)
                     sketch.append(None)
+                    bitmap.append(None)
                     continue
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 coordinates = circulant_signature(s, SKETCH)
-                bits = (coordinates & np.uint32(15)).astype(np.uint8)
-                sketch.append((bits[0::2] | bits[1::2] << 4).view(np.int64))
+                odd = np.zeros(64 * _SKETCH_LONGS, dtype=bool)
+                odd[:SKETCH] = coordinates & np.uint32(1)
+                sketch.append(np.packbits(odd, bitorder="little").view(np.int64))
+                marked = np.zeros(64 * BITMAP, dtype=bool)
+                marked[mix64(s) % np.uint64(64 * BITMAP)] = True
+                bitmap.append(np.packbits(marked, bitorder="little").view(np.int64))
                 rows = coordinates[:BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
                 key = seeds.copy()
                 for j in range(ROWS):
                     key = mix64(key ^ rows[:, j]) + np.uint64(j)
                 keys.append(key.view(np.int64))
-        return {"n_shingles": n, "digest": digest, "bands": keys, "sketch": sketch}
+        return {"n_shingles": n, "digest": digest, "bands": keys, "sketch": sketch, "bitmap": bitmap}
 
-    return map_batches(texts(docs), one, "n_shingles long, digest binary, bands array<long>, sketch array<long>", keep=["doc_id"])
+    return map_batches(texts(docs), one, "n_shingles long, digest binary, bands array<long>, sketch array<long>, bitmap array<long>", keep=["doc_id"])
 
 
-def may_be_similar(similarity_pct: int):
-    """Whether so many of the sketches ``s0, s1, ...`` and ``t0, t1, ...`` agree that the similarity may be
-    reached: 4.6 standard deviations below what is expected at the threshold, so 2e-6 of the true pairs are lost."""
-    p = similarity_pct / 100
-    p += (1 - p) / 16
+def sketch_columns(side: str) -> list[Column]:
+    """The set size, sketch and bitmap as plain columns of the ``x`` or ``y`` side of a pair."""
+    sketch = [F.col("sketch")[i].alias(f"{side}s{i}") for i in range(_SKETCH_LONGS)]
+    bitmap = [F.col("bitmap")[i].alias(f"{side}b{i}") for i in range(BITMAP)]
+    collided = F.col("n_shingles") - F.aggregate("bitmap", F.lit(0), lambda n, x: n + F.bit_count(x))
+    return [F.col("n_shingles").alias(f"{side}n"), collided.alias(f"{side}c"), *sketch, *bitmap]
+
+
+def may_be_similar(similarity_pct: int) -> Column:
+    """Whether the pair of ``sketch_columns`` of ``x`` and ``y`` may reach the similarity.
+
+    A bit that only one bitmap has is a shingle that only this set has, so the bits in common and
+    the collisions of a set bound the intersection from above and nothing is lost. Of the sketches
+    so many must agree as at 4.6 standard deviations below what is expected at the threshold: 2e-6
+    of the true pairs are lost, and long texts, whose bitmaps are full, are told apart as well. The
+    terms are few, so that the compiled loop of the join stays small.
+    """
+    p = (1 + similarity_pct / 100) / 2
     least = int(SKETCH * p - 4.6 * (SKETCH * p * (1 - p)) ** 0.5)
-    differ = F.lit(0)
-    for i in range(SKETCH // 16):
-        x = F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return differ <= SKETCH - least
+    differ = common = F.lit(0)
+    for i in range(_SKETCH_LONGS):
+        differ = differ + F.bit_count(F.col(f"xs{i}").bitwiseXOR(F.col(f"ys{i}")))
+    for i in range(BITMAP):
+        common = common + F.bit_count(F.col(f"xb{i}").bitwiseAND(F.col(f"yb{i}")))
+    most = common + F.least("xc", "yc")
+    return ((100 + similarity_pct) * most >= similarity_pct * (F.col("xn") + F.col("yn"))) & (differ <= SKETCH - least)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity_pct: int) -> DataFrame:
@@ -170,6 +191,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
         .join(reps.select(F.explode("bands").alias("key"), "doc_id").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key"), "key"),
         "llm-buckets",
     )
+    sketches = usable.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch", "bitmap")
+    sketches = cut_lineage(sketches, "llm-sketches")
     links = by_id
     done = None
     groups = spark.createDataFrame([], "node long, component long")
@@ -185,13 +208,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
             break
         rows = named.select("key", "doc_id").join(heads.select("key"), "key", "left_semi") if step else named.select("key", "doc_id")
         if step < LEADER_ROUNDS:
-            pairs = named.join(heads, "key").where("component <> other").select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
+            pairs = named.join(heads, "key").where("component <> other").select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
+            pairs = pairs.join(sketches.select(F.col("doc_id").alias("a"), *sketch_columns("x")), "a")
+            pairs = pairs.join(sketches.select(F.col("doc_id").alias("b"), *sketch_columns("y")), "b").where(may_be_similar(similarity_pct)).select("a", "b")
         else:
-            parts = range(SKETCH // 16)
-            sketches = reps.select("doc_id", *[F.col("sketch")[i].alias(f"s{i}") for i in parts])
             open_rows = named.join(heads.select("key", F.col("other").alias("main")), "key").join(sketches, "doc_id")
-            open_rows = cut_lineage(open_rows, "llm-rest")
-            other = open_rows.select(F.col("key").alias("k2"), F.col("doc_id").alias("b"), F.col("component").alias("other"), *[F.col(f"s{i}").alias(f"t{i}") for i in parts])
+            open_rows = cut_lineage(open_rows.select("key", "doc_id", "component", "main", *sketch_columns("x")), "llm-rest")
+            own = [c for c in open_rows.columns if c.startswith("x")]
+            other = open_rows.select(F.col("key").alias("k2"), F.col("doc_id").alias("b"), F.col("component").alias("other"), *[F.col(c).alias("y" + c[1:]) for c in own])
             apart = (F.col("other") == F.col("main")) | (F.col("component") < F.col("other"))
             pairs = (
                 open_rows.where("component <> main").withColumnRenamed("doc_id", "a")
