@@ -95,6 +95,26 @@ def test_circulant_signature_estimates_similarity():
     assert abs(same - 0.6) < 0.1
 
 
+def test_bounds_before_verification_lose_no_similar_pair(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (12, 60, 300, 2500):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+        for edits in range(0, n // 8 + 1, max(1, n // 60)):
+            own = list(base)
+            for at in rng.choice(n, edits, replace=False):
+                own[at] = f"x{rng.integers(0, 10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    grams = {i: {tuple(w[j:j + 4]) for j in range(len(w) - 3)} for i, w in ((i, t.split()) for i, t in rows)}
+    sig = near_dedup.signatures(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    x = sig.select(F.col("doc_id").alias("a"), *near_dedup.sketch_columns("x"))
+    y = sig.select(F.col("doc_id").alias("b"), *near_dedup.sketch_columns("y"))
+    passed = {(r.a, r.b) for r in x.join(y, F.col("a") < F.col("b")).where(near_dedup.may_be_similar(80)).select("a", "b").collect()}
+    every = [(a, b) for a in grams for b in grams if a < b]
+    similar = {(a, b) for a, b in every if 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])}
+    assert similar and similar <= passed and len(passed) < len(every) / 2
+
+
 def test_contamination_matches_brute_force(spark, frame, docs, empty):
     long = next(d[1] for d in docs if d[0] == 206)
     items = [(1, " ".join(long.split()[50:80])), (2, "Short ONE!"), (3, None), (4, "..."), (None, "no id"), (5, "Short one"), (5, "Short one")]
