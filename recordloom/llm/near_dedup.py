@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordloom.llm.graph import components
-from recordloom.llm.tables import cut_lineage, texts
+from recordloom.llm.tables import Scratch, texts
 from recordloom.llm.words import SPACED, Slice, grams, map_batches, mix64, slices, words
 
 #: Bands of so many rows: a pair at similarity 0.8 shares no band with probability 1e-6.
@@ -130,14 +130,15 @@ def may_be_similar(similarity_pct: int) -> Column:
     return ((100 + similarity_pct) * most >= similarity_pct * (F.col("xn") + F.col("yn"))) & (differ <= SKETCH - least)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity_pct: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity_pct: int, scratch: Scratch) -> DataFrame:
     """Those of ``pairs (a, b)`` whose full shingle sets are similar enough.
 
     Only texts named in a pair are moved. They are stored once and joined to the pairs; both
     join inputs are exchanges, so adaptive execution splits the rows of a much-named document.
+    The result is stored and the texts are removed again.
     """
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    small = cut_lineage(texts(docs).where("doc_id IS NOT NULL").join(named, "doc_id", "left_semi"), "llm-named")
+    small = scratch.cut(texts(docs).where("doc_id IS NOT NULL").join(named, "doc_id", "left_semi"), "llm-named")
     both = pairs.join(small.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a").join(small.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
 
     def similar(batch: pa.RecordBatch) -> dict[str, object]:
@@ -158,7 +159,9 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity_pct: int) ->
             ok[i] = common > 0 and 100 * common >= similarity_pct * (len(own) + len(other) - common)
         return {"ok": ok}
 
-    return map_batches(both, similar, "ok boolean", keep=["a", "b"]).where("ok").select("a", "b").distinct()
+    links = scratch.cut(map_batches(both, similar, "ok boolean", keep=["a", "b"]).where("ok").select("a", "b").distinct(), "llm-links")
+    scratch.drop(small)
+    return links
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> DataFrame:
@@ -178,34 +181,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     by any of their texts. An empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    sig = cut_lineage(signatures(docs, k), "llm-signatures")
+    scratch = Scratch(spark)
+    sig = scratch.cut(signatures(docs, k), "llm-signatures")
     usable = sig.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = cut_lineage(usable.groupBy("digest").agg(F.min("doc_id").alias("rep")), "llm-classes")
+    classes = scratch.cut(usable.groupBy("digest").agg(F.min("doc_id").alias("rep")), "llm-classes")
     member = usable.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep")
-    member = cut_lineage(member.distinct(), "llm-members")
+    member = scratch.cut(member.distinct(), "llm-members")
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("n")).where("n > 1")
     by_id = member.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = usable.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    rows = cut_lineage(
+    rows = scratch.cut(
         reps.select("doc_id", F.explode("bands").alias("key"))
         .join(reps.select(F.explode("bands").alias("key"), "doc_id").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key"), "key"),
         "llm-buckets",
     )
     sketches = usable.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch", "bitmap")
-    sketches = cut_lineage(sketches, "llm-sketches")
+    sketches = scratch.cut(sketches, "llm-sketches")
     links = by_id
     done = None
     groups = spark.createDataFrame([], "node long, component long")
     for step in range(LEADER_ROUNDS + 1):
         named = rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        named = cut_lineage(named, "llm-open")
+        named = scratch.cut(named, "llm-open")
         order = F.col("doc_id") if step == 0 else F.xxhash64("doc_id", "key", F.lit(step))
         heads = named.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(order.alias("o"), "doc_id", "component")).alias("h")
         ).where("low < high").select("key", F.col("h.doc_id").alias("b"), F.col("h.component").alias("other"))
-        heads = cut_lineage(heads, "llm-heads")
+        heads = scratch.cut(heads, "llm-heads")
         if heads.isEmpty():
             break
+        last, open_rows = rows, None
         rows = named.select("key", "doc_id").join(heads.select("key"), "key", "left_semi") if step else named.select("key", "doc_id")
         if step < LEADER_ROUNDS:
             pairs = named.join(heads, "key").where("component <> other").select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
@@ -213,7 +218,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
             pairs = pairs.join(sketches.select(F.col("doc_id").alias("b"), *sketch_columns("y")), "b").where(may_be_similar(similarity_pct)).select("a", "b")
         else:
             open_rows = named.join(heads.select("key", F.col("other").alias("main")), "key").join(sketches, "doc_id")
-            open_rows = cut_lineage(open_rows.select("key", "doc_id", "component", "main", *sketch_columns("x")), "llm-rest")
+            open_rows = scratch.cut(open_rows.select("key", "doc_id", "component", "main", *sketch_columns("x")), "llm-rest")
             own = [c for c in open_rows.columns if c.startswith("x")]
             other = open_rows.select(F.col("key").alias("k2"), F.col("doc_id").alias("b"), F.col("component").alias("other"), *[F.col(c).alias("y" + c[1:]) for c in own])
             apart = (F.col("other") == F.col("main")) | (F.col("component") < F.col("other"))
@@ -225,16 +230,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
         pairs = pairs.distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs, "llm-pairs")
+        pairs = scratch.cut(pairs, "llm-pairs")
         done = pairs if done is None else done.unionByName(pairs)
-        found = cut_lineage(verified(pairs, docs, k, similarity_pct), "llm-links")
+        found = verified(pairs, docs, k, similarity_pct, scratch)
         links = links.unionByName(found)
         groups = components(links)
-        rows = cut_lineage(rows, "llm-buckets")
+        rows = scratch.cut(rows, "llm-buckets")
+        scratch.drop(last, named, heads, open_rows)
     if done is None:
         groups = components(links)
     named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    named = cut_lineage(named, "llm-named-classes")
+    named = scratch.cut(named, "llm-named-classes")
+    scratch.drop_all_but(sig, named)
     with_set = sig.where("digest IS NOT NULL").join(named, "digest", "left")
     without = sig.where("digest IS NULL").withColumn("component", F.lit(None).cast("long"))
     out = with_set.select("doc_id", "n_shingles", "component").unionByName(without.select("doc_id", "n_shingles", "component"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from recordloom.session import cut_lineage, durable_dir
+from recordloom.session import durable_dir
 
-__all__ = ["crc_fold", "cut_lineage", "drop_stored", "durable_dir", "stored", "table", "texts"]
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,16 +25,46 @@ def crc_fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """``df`` written to the shared folder and read again, and the folder."""
-    out = cut_lineage(df, f"llm-{tag}")
-    return out, out.inputFiles()[0].rsplit("/", 1)[0] if out.inputFiles() else ""
+def cut_lineage(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; see :class:`Scratch`."""
+    return Scratch(df.sparkSession).cut(df, tag)
+
+
+class Scratch:
+    """Tables in the shared folder that an operator stores and removes again.
+
+    While a table is written, Spark is asked to remove the shuffle files of that query at its
+    end: nothing reads them once the table is there. :meth:`drop` removes tables whose readers
+    have themselves been stored, so that an operator of many steps holds the disk of one step.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def cut(self, df: DataFrame, tag: str) -> DataFrame:
+        path = f"{durable_dir(self.spark)}/recordloom/{tag}-{uuid.uuid4().hex}"
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((out, path))
+        return out
 
+    def drop(self, *frames: DataFrame | None) -> None:
+        """Remove the tables behind ``frames``; frames that this object did not store are passed over."""
+        gone = [path for df, path in self.tables if any(df is f for f in frames)]
+        self.tables = [(df, path) for df, path in self.tables if path not in gone]
+        for path in gone:
+            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-def drop_stored(spark: SparkSession, path: str) -> None:
-    """Remove a folder that :func:`stored` made, once nothing reads it any more."""
-    if "/recordloom/llm-" not in path:
-        return
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    def drop_all_but(self, *frames: DataFrame | None) -> None:
+        """Remove every table stored so far but those behind ``frames``."""
+        self.drop(*[df for df, _ in self.tables if not any(df is f for f in frames)])
