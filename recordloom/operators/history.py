@@ -182,9 +182,9 @@ class HistoryTable:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def commits(self) -> DataFrame | None:
-        """One row per version: its time and the schema of its live rows."""
+        """One row per version: its time, the schema of its live rows and the batch that made it, if it had a name."""
         root = f"{self.path}/commits"
-        fields = "version bigint, committed_at timestamp, live_schema string"
+        fields = "version bigint, committed_at timestamp, live_schema string, batch string"
         return self.spark.read.schema(fields).parquet(root) if self._exists(root) else None
 
     def version(self, timestamp=None) -> int:
@@ -195,81 +195,103 @@ class HistoryTable:
             return version_at(commits, timestamp).first()["version"]
         return commits.agg(F.max("version").alias("v")).first()["v"] or 0
 
-    def _live(self, version: int) -> DataFrame:
-        # a stated schema keeps partition values as they are ("07101" must not become a number)
+    def _schema(self, version: int) -> T.StructType:
         row = self.commits().where(F.col("version") == version).first()
         if row is None:
             raise ValueError(f"{self.path} has no version {version}")
-        schema = T.StructType.fromJson(json.loads(row["live_schema"]))
+        return T.StructType.fromJson(json.loads(row["live_schema"]))
+
+    def _live(self, version: int) -> DataFrame:
+        # a stated schema keeps partition values as they are ("07101" must not become a number)
+        schema = self._schema(version)
         return self.spark.read.schema(schema).parquet(f"{self.path}/current/v={version}").select(*schema.fieldNames())
 
     def history(self) -> DataFrame:
+        """All rows with their intervals, with the columns of all versions; null where a version had none.
+
+        A column whose type an overwrite changed can only be read by version once no closed row has it.
+        """
         version = self.version()
         live = self._live(version).withColumn(VALID_TO, F.lit(None).cast("bigint"))
         if not self._exists(f"{self.path}/closed"):
             return live
-        closed = self.spark.read.schema(live.schema).parquet(f"{self.path}/closed")
+        fields = {f.name: f for f in live.schema}
+        for row in self.commits().select("live_schema").distinct().collect():
+            for f in T.StructType.fromJson(json.loads(row["live_schema"])):
+                fields.setdefault(f.name, f)
+        closed = self.spark.read.schema(T.StructType(list(fields.values()))).parquet(f"{self.path}/closed")
         # rows closed by a version that never committed are not part of the table
-        return live.unionByName(closed.where(F.col(VALID_TO) <= version).select(*live.columns))
+        return live.unionByName(closed.where(F.col(VALID_TO) <= version).select(*fields), allowMissingColumns=True)
 
     def read(self, version: int | None = None, timestamp=None) -> DataFrame:
+        """The rows of a version with the columns that it had; the newest by default."""
         if timestamp is not None:
             version = self.version(timestamp)
         if version is None:
             return self._live(self.version()).drop(VALID_FROM)
-        return as_of(self.history(), version)
+        return as_of(self.history(), version).select(*[c for c in self._schema(version).fieldNames() if c != VALID_FROM])
 
     def _open_rows(self, version: int) -> DataFrame:
         return self._live(version).withColumn(VALID_TO, F.lit(None).cast("bigint"))
 
-    def write(self, data: DataFrame) -> int:
+    def write(self, data: DataFrame, batch: str | None = None) -> int:
         """Create the table, or upsert ``data`` into it. Returns the new version.
 
-        Only the live rows take part; rows closed earlier are neither read nor rewritten.
+        Only the live rows take part; rows closed earlier are neither read nor rewritten. Columns
+        that only ``data`` has are added, null in the rows that stay. A named ``batch`` that a
+        version was already made of changes nothing and returns that version.
         """
-        batch = with_load_metadata(data, self.primary_key, self.partition_key)
         version = self.version()
+        if batch is not None and version:
+            seen = self.commits().where(F.col("batch") == batch).agg(F.min("version").alias("v")).first()["v"]
+            if seen is not None:
+                return seen
+        prepared = with_load_metadata(data, self.primary_key, self.partition_key)
         if version == 0:
-            return self._commit(initialise(batch, 1), 1)
-        merged = upsert(self._open_rows(version), batch, self.primary_key, version + 1)
-        return self._commit(merged, version + 1)
+            return self._commit(initialise(prepared, 1), 1, batch=batch)
+        live = self._open_rows(version)
+        added = {f.name: F.lit(None).cast(f.dataType) for f in prepared.schema if f.name not in live.columns}
+        merged = upsert(live.withColumns(added), prepared, self.primary_key, version + 1)
+        return self._commit(merged, version + 1, batch=batch)
 
     def overwrite(self, data: DataFrame) -> int:
-        """Close every live row and start from ``data``; old versions stay readable."""
-        batch = with_load_metadata(data, self.primary_key, self.partition_key)
+        """Close every live row and start from ``data`` and its schema; old versions stay readable."""
         version = self.version() + 1
-        fresh = initialise(batch, version)
+        fresh = initialise(with_load_metadata(data, self.primary_key, self.partition_key), version)
         if version == 1:
             return self._commit(fresh, version)
-        old = self._live(version - 1).withColumn(VALID_TO, F.lit(version).cast("bigint"))
-        return self._commit(old.unionByName(fresh, allowMissingColumns=True), version)
+        closed = self._live(version - 1).withColumn(VALID_TO, F.lit(version).cast("bigint"))
+        return self._store(fresh.drop(VALID_TO), closed, version)
 
     def rollback(self, version: int | None = None, timestamp=None) -> int:
         if version is None and timestamp is None:
             raise ValueError("rollback needs a version or a timestamp")
         target = self.version(timestamp) if version is None else version
         new = self.version() + 1
-        return self._commit(rollback(self.history(), target, self.primary_key, new), new)
+        return self._commit(rollback(self.history(), target, self.primary_key, new), new, self._schema(target).fieldNames())
 
     def changes(self, since: int = 1) -> DataFrame:
         return change_feed(self.read(version=since), self.read(), self.primary_key)
 
-    def _commit(self, rows: DataFrame, version: int) -> int:
-        """Store the live rows of ``rows`` and those closed by this version, then the marker."""
+    def _commit(self, rows: DataFrame, version: int, columns: Sequence[str] | None = None, batch: str | None = None) -> int:
+        """Store the live rows of ``rows`` (their ``columns``) and those closed by this version."""
         changed = F.col(VALID_TO).isNull() | (F.col(VALID_TO) == version)
         # two outputs read the merge, so it runs once
         rows = cut_lineage(rows.where(changed), "merge")
         live = rows.where(F.col(VALID_TO).isNull()).drop(VALID_TO)
+        return self._store(live.select(*(columns or live.columns)), rows.where(F.col(VALID_TO) == version), version, batch)
+
+    def _store(self, live: DataFrame, closed: DataFrame, version: int, batch: str | None = None) -> int:
+        """Write both kinds of rows, then the marker that makes them a version."""
         if self.partition_key:
             writer = live.hint("rebalance", F.col(self.partition_key)).write.partitionBy(self.partition_key)
         else:
             writer = live.write
         writer.mode("overwrite").parquet(f"{self.path}/current/v={version}")
-        closed = rows.where(F.col(VALID_TO) == version)
         write_parquet(closed, f"{self.path}/closed/v={version}", mode="overwrite")
         marker = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at"),
-            F.lit(live.schema.json()).alias("live_schema"),
+            F.lit(live.schema.json()).alias("live_schema"), F.lit(batch).cast("string").alias("batch"),
         )
         write_parquet(marker, f"{self.path}/commits/v={version}", mode="overwrite")
         return version

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -67,12 +68,13 @@ def bronze_to_silver(spark: SparkSession, path: str, specs: Sequence[SourceSpec]
     return load_validated(spark, checked.stored(), layout)
 
 
-def load_validated(spark: SparkSession, checked, layout: Layout) -> dict:
+def load_validated(spark: SparkSession, checked, layout: Layout, batch: str | None = None) -> dict:
+    """Quarantine the rejected rows and upsert the valid ones. A named batch that is loaded again changes neither."""
     spec = checked.spec
     counts = checked.metrics().first().asDict()
     if counts["failure"]:
-        quarantine_rows(checked.rejected, layout.errors(spec.name))
-    version = silver_table(spark, layout, spec).write(checked.valid)
+        quarantine_rows(checked.rejected, layout.errors(spec.name), batch or uuid.uuid4().hex)
+    version = silver_table(spark, layout, spec).write(checked.valid, batch)
     return {"source": spec.name, "version": version, **counts}
 
 

@@ -36,9 +36,9 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.coalesce(1).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def quarantine_rows(rejected: DataFrame, path: str) -> None:
-    """Rejected raw rows with their reasons."""
-    write_parquet(rejected, path, mode="append")
+def quarantine_rows(rejected: DataFrame, path: str, batch: str) -> None:
+    """Rejected raw rows with their reasons, in a folder of their batch; a batch that runs again replaces its rows."""
+    write_parquet(rejected, f"{path}/batch={batch}", mode="overwrite")
 
 
 def quarantine_clusters(rejected: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,10 +40,15 @@ def run_available(stream: DataFrame, each_batch, checkpoint: str) -> None:
 def ingest_bronze(
     spark: SparkSession, path: str, spec: SourceSpec, layout: Layout, checkpoint: str, archive: str | None = None
 ) -> None:
-    """Validate and upsert new raw files. The upsert is idempotent, so a replayed batch changes nothing."""
+    """Validate and upsert new raw files, each batch once.
 
-    def load(batch: DataFrame, _: int) -> None:
-        load_validated(batch.sparkSession, validate(batch, spec).stored(), layout)
+    A batch is named by its checkpoint and number. The table notes the name with the version and
+    the quarantine keeps a folder per name, so a replay leaves table, version and quarantine as they are.
+    """
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def load(batch: DataFrame, number: int) -> None:
+        load_validated(batch.sparkSession, validate(batch, spec).stored(), layout, f"{stream}-{number}")
 
     run_available(raw_stream(spark, path, "csv", spec.raw_schema, archive), load, checkpoint)
 

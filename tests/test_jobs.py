@@ -4,9 +4,11 @@ import pytest
 
 from conftest import rows
 from recordloom.operators import audit as audits
+from recordloom.operators.validate import validate
 from recordloom.plans import jobs
 from recordloom.plans.settings_er import ResolutionSettings
 from recordloom.session import CHECKPOINT_CONF, durable_dir
+from recordloom.sources.readers import read_any
 from recordloom.specs import business_entity_registry, default_specs
 from recordloom.streaming.ingest import ingest_bronze
 
@@ -83,6 +85,16 @@ def test_stream_ingest_loads_each_file_once(spark, tmp_path):
     assert spark.read.parquet(layout.errors(spec.name)).count() == 1
 
 
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    spec, layout = business_entity_registry(), jobs.Layout(str(tmp_path / "lake"))
+    _write(tmp_path / "a.csv", spec.raw_header, [("UEI_1", "Acme Inc", "1 Main St", "Rome", "00100", "ACT"), ("", "x", "", "", "", "")])
+    raw = read_any(spark, str(tmp_path / "a.csv"), spec.raw_schema)
+    for _ in range(2):
+        assert jobs.load_validated(spark, validate(raw, spec).stored(), layout, "s-0")["version"] == 1
+    assert jobs.silver_table(spark, layout, spec).version() == 1
+    assert spark.read.parquet(layout.errors(spec.name)).count() == 1
+
+
 def test_durable_folder_comes_from_the_session(spark, tmp_path):
     spark.conf.set(CHECKPOINT_CONF, str(tmp_path)) if spark.conf.isModifiable(CHECKPOINT_CONF) else None
     assert durable_dir(spark)

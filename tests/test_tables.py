@@ -71,6 +71,29 @@ def test_history_table_round_trip(spark, tmp_path):
         HistoryTable(spark, str(tmp_path / "t"), ["id"])._live(77)
 
 
+def test_a_table_takes_new_columns_and_a_new_schema(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "t"), ["id"])
+    assert table.write(frame(spark, [("1", "Rome", 1), ("2", "Oslo", 2)])) == 1
+    assert table.write(frame(spark, [("2", "Oslo", 2, "x"), ("3", "Bern", 3, "y")], "id string, city string, n int, extra string")) == 2
+    assert rows(table.read(), "id", "extra") == [("1", None), ("2", "x"), ("3", "y")]
+    assert "extra" not in table.read(version=1).columns and table.read(version=1).count() == 2
+    assert table.overwrite(frame(spark, [("7", 1.5)], "id string, size double")) == 3
+    assert set(table.read().columns) >= {"id", "size"} and not {"city", "n", "extra"} & set(table.read().columns)
+    assert table.write(frame(spark, [("7", 2.5), ("8", 3.5)], "id string, size double")) == 4
+    assert rows(table.read(), "id", "size") == [("7", 2.5), ("8", 3.5)]
+    assert rows(table.read(version=2), "id", "city", "extra") == [("1", "Rome", None), ("2", "Oslo", "x"), ("3", "Bern", "y")]
+    assert table.rollback(version=2) == 5
+    assert rows(table.read(), "id", "city", "extra") == [("1", "Rome", None), ("2", "Oslo", "x"), ("3", "Bern", "y")]
+
+
+def test_a_named_batch_is_written_once(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "t"), ["id"])
+    assert table.write(frame(spark, [("1", "Rome", 1)]), "s-0") == 1
+    assert table.write(frame(spark, [("1", "Rome", 2)]), "s-1") == 2
+    assert table.write(frame(spark, [("1", "Rome", 1)]), "s-0") == 1
+    assert table.version() == 2 and rows(table.read(), "id", "n") == [("1", 2)]
+
+
 def test_change_feed_applied_to_old_gives_new(spark):
     old = with_load_metadata(spark.range(100).select(F.col("id"), (F.col("id") % 5).alias("v")), ["id"])
     new = with_load_metadata(spark.range(20, 130).select(F.col("id"), (F.col("id") % 4).alias("v")), ["id"])
