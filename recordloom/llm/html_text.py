@@ -20,6 +20,7 @@ _RAW = frozenset("script style textarea title noscript template iframe xmp svg m
 _OUTSIDE = frozenset("aside button datalist dialog footer form head header input label menu nav optgroup option search select".split())
 #: Elements that can hold an article, its paragraphs and headings.
 _HOLDS = frozenset("article body center div details fieldset html li main section table tbody td tr".split())
+_TITLE, _HEADINGS = "h1", frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSES = {
     "li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
     "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select", "datalist")),
@@ -40,33 +41,43 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Block:
     """Text between two block boundaries, with its tag path and the elements it lies in."""
 
-    __slots__ = ("parts", "path", "above", "link", "text")
+    __slots__ = ("parts", "path", "above", "named", "link", "text")
 
-    def __init__(self, path: str, above: tuple[int, ...]):
-        self.parts, self.path, self.above, self.link, self.text = [], path, above, 0, ""
+    def __init__(self, path: str, above: tuple[int, ...], named: tuple[int, ...]):
+        self.parts, self.path, self.above, self.named, self.link, self.text = [], path, above, named, 0, ""
 
+    def holders(self) -> zip[tuple[int, str]]:
+        return zip(self.above, (tag for tag in self.path.split("/") if tag in _HOLDS))
 
-def _outside(tag: str, attributes: str) -> bool:
+
+def _outside(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether the element is outside the article by its kind, and whether by a word in its class or id only."""
     if tag in _OUTSIDE:
-        return True
+        return True, False
     if not attributes or tag in ("html", "body"):
-        return False
+        return False, False
+    named = False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         value, name = a or b or c, name.lower()
         if name in ("class", "id", "role"):
             if _NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)):
-                return True
+                if name == "role":
+                    return True, False
+                named = True
         elif name == "style":
             if _HIDDEN.search(value):
-                return True
+                return True, False
         elif name == "hidden" or value.lower() == "true":
-            return True
-    return False
+            return True, False
+    return False, named
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order that lie in no element outside the article; a lenient reader of HTML."""
-    stack: list[tuple[str, int, bool]] = []
+    """Text blocks in page order that lie in no element outside the article by its kind; a lenient reader of HTML.
+
+    Elements outside by a word in their class or id only are noted in ``named``.
+    """
+    stack: list[tuple[str, int, bool, tuple[int, ...]]] = []
     out: list[Block] = []
     current: Block | None = None
     node = 0
@@ -81,7 +92,7 @@ def blocks(page: str) -> list[Block]:
         if current is None:
             if not text.strip():
                 return
-            current = Block("/".join(s[0] for s in stack), tuple(s[1] for s in stack if s[0] in _HOLDS))
+            current = Block("/".join(s[0] for s in stack), tuple(s[1] for s in stack if s[0] in _HOLDS), stack[-1][3] if stack else ())
             out.append(current)
         current.parts.append(text)
         if links:
@@ -89,7 +100,7 @@ def blocks(page: str) -> list[Block]:
 
     def pop(n: int) -> None:
         nonlocal links, current
-        for tag, _, _ in stack[n:]:
+        for tag, *_ in stack[n:]:
             links -= tag == "a"
             if tag in _BLOCK:
                 current = None
@@ -147,7 +158,9 @@ def blocks(page: str) -> list[Block]:
             at = close.end() if close else end
             continue
         node += 1
-        stack.append((tag, node, bool(stack and stack[-1][2]) or _outside(tag, m[3])))
+        outside, named = _outside(tag, m[3])
+        inherited = stack[-1][3] if stack else ()
+        stack.append((tag, node, bool(stack and stack[-1][2]) or outside, (*inherited, node) if named else inherited))
         links += tag == "a"
     done = []
     for b in out:
@@ -186,19 +199,49 @@ def path_scores(found: list[Block]) -> dict[str, float]:
     return dict(zip(paths, smooth))
 
 
+def _admitted(found: list[Block]) -> list[Block]:
+    """The blocks in no element outside the article by its name.
+
+    A name is overruled where its element holds most of the page's prose, no main heading or
+    ``main`` lies outside it, and it has one or no other path reaches a tenth of its best ratio.
+    """
+    prose = lambda some: sum(max(0, len(b.text) - b.link) for b in some)
+    heads = lambda some: any(not {"h1", "main"}.isdisjoint(b.path.split("/")) for b in some)
+    refused = {n for b in found for n in b.named}
+    if not refused:
+        return found
+    held: dict[int, list[Block]] = {n: [] for n in refused}
+    for b in found:
+        for n in b.named:
+            held[n].append(b)
+    whole = prose(found)
+    for n, inside in held.items():
+        if 2 * prose(inside) <= whole:
+            continue
+        rest = [b for b in found if n not in b.named]
+        if heads(rest):
+            continue
+        if heads(inside) or not rest or max(path_scores(rest).values()) < 0.1 * max(path_scores(inside).values()):
+            refused.discard(n)
+    return [b for b in found if refused.isdisjoint(b.named)]
+
+
 def main_text(page: str) -> str:
     """The article of a page: its blocks joined by line feeds.
 
-    Paths with a ratio of at least a tenth of the best are content. The article is the smallest
-    element that holds four fifths of the content's characters; all its blocks, headings too,
-    are its text unless they are mostly links.
+    Paths with a ratio of at least a tenth of the best are content, and no block of theirs is
+    left out. The article's element is the smallest that holds four fifths of the content's
+    characters, or the ``article`` or ``main`` around that, widened until it holds every block
+    whose path is one of its content paths. Its other blocks, headings too, are text as well
+    unless their path is mostly links. Main headings are kept from elsewhere if it has none.
     """
-    found = blocks(page)
+    found = _admitted(blocks(page))
     if not found:
         return ""
     scores = path_scores(found)
     best = max(scores.values())
-    picked = [b for b in found if scores[b.path] >= 0.1 * best]
+    content = {p for p, score in scores.items() if score >= 0.1 * best}
+    picked = [b for b in found if b.path in content]
     whole = sum(len(b.text) for b in picked)
     held: dict[int, int] = {}
     for b in picked:
@@ -206,9 +249,32 @@ def main_text(page: str) -> str:
             held[node] = held.get(node, 0) + len(b.text)
     # later numbers lie deeper among the elements that hold enough
     root = max((n for n, size in held.items() if size >= 0.8 * whole), default=None)
-    mostly_links = lambda b: b.link > 0.6 * len(b.text)
-    own = [b for b in found if root is None or root in b.above]
-    return "\n".join(b.text for b in own if not mostly_links(b) or scores[b.path] == best)
+    if root is not None:
+        tags = {n: tag for b in picked if root in b.above for n, tag in b.holders() if n <= root}
+        for kind in ("article", "main"):
+            own = [n for n, tag in tags.items() if tag == kind]
+            if own:
+                root = max(own)
+                break
+        shared = {b.path for b in picked if root in b.above}
+        alike = [set(b.above) for b in picked if b.path in shared]
+        root = max((n for n in set.intersection(*alike) if n <= root), default=None)
+    inside = lambda b: root is None or root in b.above
+    length, linked = {}, {}
+    for b in found:
+        length[b.path] = length.get(b.path, 0) + len(b.text)
+        linked[b.path] = linked.get(b.path, 0) + min(b.link, len(b.text))
+    headed = any(inside(b) and _TITLE in b.path.split("/") for b in found)
+
+    def kept(b: Block) -> bool:
+        tags = b.path.split("/")
+        if b.path in content:
+            return True
+        if not inside(b):
+            return not headed and _TITLE in tags
+        return linked[b.path] <= 0.6 * length[b.path] or not _HEADINGS.isdisjoint(tags)
+
+    return "\n".join(b.text for b in found if kept(b))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -286,6 +286,25 @@ def test_main_text():
     assert html_text.main_text("<p>a < b && c") == "a < b && c"
 
 
+def test_main_text_loses_no_section_and_no_named_wrapper():
+    long = " ".join(f"Sentence {i}, of the story." for i in range(200))
+    short = " ".join(f"Another {i}, after it." for i in range(35))
+    nav = "<nav><a href=/>Home</a></nav><footer>me</footer>"
+    for tag in ("section", "div"):
+        page = f"<body>{nav}<article><h1>Title</h1><{tag}>{long}</{tag}><h2><a href=#b>Two</a></h2><{tag}>{short}</{tag}></article></body>"
+        assert html_text.main_text(page) == f"Title\n{long}\nTwo\n{short}"
+    page = f"<body>{nav}<div><h1>Title</h1><p>{short}</p><section><p>{long}</p></section></div></body>"
+    assert html_text.main_text(page) == f"Title\n{short}\n{long}"
+    side = '<div class="sidebar"><p>Other things, to read.</p></div>'
+    for name in ("has-sidebar", "elementor-widget"):
+        page = f'<body>{nav}<div class="{name}"><p>{long}</p><p>{short}</p>{side}</div></body>'
+        assert html_text.main_text(page) == f"{long}\n{short}"
+    page = f'<body>{nav}<div class="comments"><p>{long}</p></div><article><h1>Title</h1><p>{short}</p></article></body>'
+    assert html_text.main_text(page) == f"Title\n{short}"
+    page = f'<body><article><h1>T</h1><p>{long}</p><p><a href="/more">The whole, linked paragraph.</a></p></article></body>'
+    assert html_text.main_text(page) == f"T\n{long}\nThe whole, linked paragraph."
+
+
 def test_extract_keeps_every_row(spark):
     pages = spark.createDataFrame([(1, "u", None, "z"), (1, "u", "<p>x.", "z"), (None, None, "", "z")], "page_id long, url string, html string, text string")
     assert sorted(r.text for r in html_text.extract(pages).collect()) == ["", "", "x."]
