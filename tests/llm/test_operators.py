@@ -177,6 +177,19 @@ def test_base_score_and_normalisation(frame, docs, empty):
     assert np.isclose(np.exp(net.log_probability(before, np.arange(7))).sum(), 1, atol=1e-5)
 
 
+def test_language_model_trains_on_every_row_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "PART_BYTES", 500_000)
+    cycle = " ".join(f"w{i}" for i in range(600))
+    docs = spark.createDataFrame([(i, f"{cycle} " * 35) for i in range(20)], "doc_id long, text string")
+    counts = language_model.word_counts(docs)
+    shared = spark.sparkContext.broadcast(language_model.vocabulary(counts))
+    assert shared.value.own == 600 and shared.value.outputs == 600 + 1 + language_model.SUFFIX_CLASSES
+    stored = language_model.encoded(docs, shared)
+    assert len(stored.inputFiles()) > 1
+    assert stored.agg(F.sum(F.octet_length("sequence")) / 4).first()[0] == shared.value.tokens == 20 * (600 * 35 + 1)
+    assert all(r.score > r.base_score / 2 for r in language_model.score(docs, F.lit(True)).collect())
+
+
 def test_licenses_match_brute_force(spark, empty):
     texts = ["All rights reserved. CC BY, and cc-by again", None, "", "Licensed under the Apache License, Version 2.0.", "rights reserved", "General Public, License",
              "This program is free software: YOU can now redistribute it and/or modify it under the terms of the GNU General Public License"]
