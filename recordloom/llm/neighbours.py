@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordloom.llm.mixture import running
-from recordloom.llm.tables import cut_lineage
+from recordloom.llm.tables import Scratch, cut_lineage
 
 #: Neighbours of a node in the graph; as many reverse ones take part in joins and searches.
 DEGREE = 16
 TREES, BLOCK = 4, 256
-ROUNDS, SETTLED = 4, 0.02
+#: NN-descent ends when a round changes at most this share of the lists.
+SETTLED = 0.02
 #: A local join gives each member its so many nearest in the group that beat what it has.
 OFFERS = 6
 #: Length of a query's list of nearest nodes, and nodes that every search starts from.
@@ -37,14 +38,24 @@ def distance(a: str, b: str) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
 
-def _half(rows: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(rows), dtype=np.float16).reshape(len(rows), -1).astype(np.float32)
+def _rows(small: pd.Series, dimension: int) -> np.ndarray:
+    """Vectors stored with 4 or 8 bytes a component, in double precision."""
+    data = b"".join(small)
+    kind = np.float32 if len(data) == 4 * dimension * len(small) else np.float64
+    return np.frombuffer(data, dtype=kind).reshape(len(small), dimension).astype(np.float64)
 
 
 def _squares(x: np.ndarray) -> np.ndarray:
-    """Squared distances within each group of ``(groups, size, dimension)``."""
+    """Squared distances within each group of ``(groups, size, dimension)``; small ones that the
+    matrix product would lose to cancellation are measured by differences."""
     n = (x * x).sum(axis=2)
-    return np.maximum(n[:, :, None] + n[:, None, :] - 2 * x @ x.transpose(0, 2, 1), 0)
+    both = n[:, :, None] + n[:, None, :]
+    d = both - 2 * x @ x.transpose(0, 2, 1)
+    g, a, b = np.nonzero(d <= 1e-6 * both)
+    for i in range(0, len(g), 1 << 16):
+        at, c, e = g[i:i + (1 << 16)], a[i:i + (1 << 16)], b[i:i + (1 << 16)]
+        d[at, c, e] = ((x[at, c] - x[at, e]) ** 2).sum(axis=1)
+    return d
 
 
 def nearest_rows(edges: DataFrame, by: str, k: int) -> DataFrame:
@@ -54,13 +65,18 @@ def nearest_rows(edges: DataFrame, by: str, k: int) -> DataFrame:
     return edges.select("node", "near", "d", F.row_number().over(order).alias("place")).where(F.col("place") <= k).drop("place")
 
 
-def start_graph(nodes: DataFrame, dimension: int) -> DataFrame:
+def middle_of(nodes: DataFrame) -> np.ndarray:
+    """Median of each component, which no few far vectors move; approximate in rank only."""
+    found = nodes.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.percentile_approx("x", 0.5, 1000).alias("m"))
+    return found.orderBy("i").toArrow().column("m").to_numpy()
+
+
+def start_graph(nodes: DataFrame, dimension: int, middle: np.ndarray) -> DataFrame:
     """Neighbours within blocks of nodes that lie on the same sides of random hyperplanes.
 
     Nodes are ranked by their sides, tree by tree, and cut into blocks of ``BLOCK``, so no block
     outgrows that however the vectors are spread.
     """
-    middle = nodes.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).orderBy("i").toArrow().column("m").to_numpy()
     planes = np.random.default_rng(_SEED).normal(size=(TREES, 24, dimension))
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +91,7 @@ def start_graph(nodes: DataFrame, dimension: int) -> DataFrame:
     placed = running(cut_lineage(coded, "llm-sides"), ["tree"], "part", "one", [F.col("code"), F.col("node")])
 
     def within(group: pd.DataFrame) -> pd.DataFrame:
-        d = _squares(_half(group["small"])[None])[0]
+        d = _squares(_rows(group["small"], dimension)[None])[0]
         np.fill_diagonal(d, np.inf)
         k = min(DEGREE, len(d) - 1)
         if k < 1:
@@ -95,7 +111,7 @@ def _both_ways(graph: DataFrame) -> DataFrame:
     return graph.select("node", "near").unionByName(back).distinct()
 
 
-def local_joins(groups: DataFrame) -> DataFrame:
+def local_joins(groups: DataFrame, dimension: int) -> DataFrame:
     """Pairs of members of the same ``center`` that beat the worst neighbour of one of them."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +131,7 @@ def local_joins(groups: DataFrame) -> DataFrame:
         center = rows["center"].to_numpy()
         edges = np.concatenate(([0], np.flatnonzero(np.diff(center)) + 1, [len(center)]))
         size = np.diff(edges)
-        vectors, member, worst = _half(rows["small"]), rows["member"].to_numpy(), rows["worst"].to_numpy()
+        vectors, member, worst = _rows(rows["small"], dimension), rows["member"].to_numpy(), rows["worst"].to_numpy()
         for i in range(0, len(size), 512):
             n, first = size[i:i + 512], edges[i:i + 512][:len(size[i:i + 512])]
             width = int(n.max())
@@ -138,22 +154,23 @@ def local_joins(groups: DataFrame) -> DataFrame:
     return groups.repartition("center").sortWithinPartitions("center").mapInArrow(join, "node long, near long, d double")
 
 
-def descend(nodes: DataFrame, graph: DataFrame) -> DataFrame:
+def descend(nodes: DataFrame, graph: DataFrame, dimension: int) -> DataFrame:
     """NN-descent: neighbours of neighbours are joined and measured until few lists still change."""
     total = graph.count()
-    for _ in range(ROUNDS):
+    scratch = Scratch(nodes.sparkSession)
+    while True:
         worst = graph.groupBy("node").agg(F.max("d").alias("far"), F.count("*").alias("n"))
         limit = F.when(F.col("n") >= DEGREE, F.col("far")).otherwise(F.lit(float("inf")))
         known = nodes.select("node", "small").join(worst, "node", "left").select(F.col("node").alias("member"), "small", F.coalesce(limit, F.lit(float("inf"))).alias("worst"))
         groups = _both_ways(graph).withColumnsRenamed({"node": "center", "near": "member"}).join(known, "member")
-        offered = local_joins(groups.select("center", "member", "small", "worst")).where("node <> near")
+        offered = local_joins(groups.select("center", "member", "small", "worst"), dimension).where("node <> near")
         offered = offered.groupBy("node", "near").agg(F.min("d").alias("d")).join(graph.select("node", "near"), ["node", "near"], "left_anti")
-        better = cut_lineage(nearest_rows(offered, "node", DEGREE), "llm-offers")
+        better = scratch.cut(nearest_rows(offered, "node", DEGREE), "llm-offers")
         changed = better.count()
-        graph = cut_lineage(nearest_rows(graph.unionByName(better), "node", DEGREE), "llm-graph")
+        graph = scratch.cut(nearest_rows(graph.unionByName(better), "node", DEGREE), "llm-graph")
+        scratch.drop_all_but(graph)
         if changed <= SETTLED * total:
-            break
-    return graph
+            return graph
 
 
 def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame) -> DataFrame:
@@ -190,8 +207,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     Euclidean distance in double precision on the given components; a query's own row is no
     candidate; ties go to the smaller ``vec_id``. Equal vectors are one node of the graph with
     its ``k + 1`` smallest ids, which are all that can be among the ``k`` nearest, so copies do
-    not crowd lists. The graph is built on half-precision values and refined by NN-descent;
-    results are measured on the vectors themselves.
+    not crowd lists. The graph is built on vectors less the median, in the precision of the
+    input, and refined by NN-descent until it settles; results are measured on the vectors themselves.
 
     Rows whose id or vector is null, zero or not finite, and vectors of a rarer dimension, take
     no part. A repeated id with another vector is a candidate of its own; with the same vector it
@@ -202,17 +219,20 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     top = rows.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x)))), F.max(F.size("vec"))).first()
     if top[0] is None:
         return empty
-    scale = float(top[0])
+    dimension = int(top[1])
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind, scale = (np.float32, 4.0) if single else (np.float64, float(top[0]))
+    middle = middle_of(rows)
 
     def small(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: (np.asarray(v) / scale).astype(np.float16).tobytes())
+        return x.map(lambda v: (np.asarray(v) / scale - middle / scale).astype(kind).tobytes())
 
     nodes = rows.select("vec").distinct().withColumn("node", F.monotonically_increasing_id())
     nodes = cut_lineage(nodes.withColumn("small", F.pandas_udf(small, "binary")("vec")), "llm-nodes")
     named = cut_lineage(rows.join(nodes.select("vec", "node"), "vec").select("vec_id", "node"), "llm-names")
     order = Window.partitionBy("node").orderBy("vec_id")
     members = named.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1).drop("place")
-    graph = descend(nodes, start_graph(nodes, int(top[1])))
+    graph = descend(nodes, start_graph(nodes, dimension, middle), dimension)
     asked = named.where(is_query).join(nodes.select("node", "vec"), "node").select(F.col("vec_id").alias("query_id"), F.col("node").alias("own"), "vec")
     asked = cut_lineage(asked.dropDuplicates(["query_id"]), "llm-queries")
     found = search(nodes, graph, asked).join(members.withColumnRenamed("node", "near"), "near").where("vec_id <> query_id")

@@ -177,6 +177,21 @@ def test_base_score_and_normalisation(frame, docs, empty):
     assert np.isclose(np.exp(net.log_probability(before, np.arange(7))).sum(), 1, atol=1e-5)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_neighbours_with_a_far_vector_and_a_far_mean(spark, kind):
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(1500, 12)) + 1000).astype(np.float32).astype(np.float64)
+    x[7] = 1e10
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    got = neighbours.nearest(rows, F.col("vec_id") % 50 == 0).collect()
+    hits = 0
+    for q in range(0, 1500, 50):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.97 * 300
+
+
 def test_language_model_trains_on_every_row_in_parts(spark, monkeypatch):
     monkeypatch.setattr(language_model, "PART_BYTES", 500_000)
     cycle = " ".join(f"w{i}" for i in range(600))
