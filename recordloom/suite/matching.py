@@ -176,7 +176,7 @@ def u_estimate(spark, sf_dir):
     """Level shares among random pairs. The pairs are hashed draws, so there is no SQL twin;
     the tests compare them with all pairs of a small fixture."""
     records = corpus.records(spark, sf_dir)
-    pairs = training.random_pairs(records, corpus.COLUMNS, records.count(), max_pairs=100_000)
+    pairs = training.random_pairs(records, corpus.COLUMNS, records.count())
     return training.level_shares(model.comparison_vectors(pairs, corpus.COMPARISONS), corpus.COMPARISONS)
 
 
@@ -185,9 +185,7 @@ def em_train(spark, sf_dir):
     """A whole training run; the result is the parameter table."""
     records = cut_lineage(corpus.records(spark, sf_dir).select("node_id", "pid", "data_source", *corpus.COLUMNS), "records")
     rows = cut_lineage(blocking.profiles(records, corpus.COLUMNS), "profiles")
-    trained = training.train(
-        records, rows, corpus.COMPARISONS, corpus.DETERMINISTIC, corpus.TRAINING, max_pairs=100_000
-    )
+    trained = training.train(records, rows, corpus.COMPARISONS, corpus.DETERMINISTIC, corpus.TRAINING)
     return trained.to_frame(spark)
 
 

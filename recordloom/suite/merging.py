@@ -332,7 +332,7 @@ def end_to_end(spark, sf_dir):
               for n, (df, k) in corpus.stored_snapshots(spark, sf_dir).items()}
     settings = ResolutionSettings(
         blocking=corpus.BLOCKING, deterministic=corpus.DETERMINISTIC, training=corpus.TRAINING,
-        comparisons=corpus.COMPARISONS, max_random_pairs=100_000,
+        comparisons=corpus.COMPARISONS,
     )
     found = resolve(frames, settings)
     tagged = union_by_name([tag_source(df, key, name) for name, (df, key) in frames.items()])

@@ -196,3 +196,21 @@ def test_training_runs_end_to_end(spark):
     trained = training.train(records, profiles, COMPARISONS, [block_on("eid", "name")], [block_on("name"), block_on("eid")])
     assert 0 < trained.prior < 1
     assert set(trained.parameters) == set(COLUMNS)
+
+
+@pytest.mark.parametrize("name", ["u_estimate", "em_train", "end_to_end"])
+def test_training_queries_draw_the_default_number_of_pairs(spark, monkeypatch, name):
+    from recordloom.settings import MAX_RANDOM_PAIRS
+    from recordloom.suite import corpus, matching, merging
+
+    class Drawn(Exception):
+        pass
+
+    def draw(records, columns, n_records, max_pairs=MAX_RANDOM_PAIRS, salt="u"):
+        raise Drawn(max_pairs)
+
+    monkeypatch.setattr(training, "random_pairs", draw)
+    run = getattr(merging if name == "end_to_end" else matching, name)
+    with pytest.raises(Drawn) as drawn:
+        run(spark, "/root/testdata/sf0.001")
+    assert drawn.value.args == (10_000_000,)
