@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordloom.llm import contamination, html_text, language, language_model, license_scan, mixture, near_dedup, neighbours, token_blocks, toxicity
+from recordloom.llm import contamination, hard_negatives, html_text, language, language_model, license_scan, mixture, near_dedup, neighbours, token_blocks, top_products, toxicity, whitening
 from recordloom.llm.tables import crc_fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,41 @@ def op10(spark, sf_dir):
     models = language.train(language.training_rows(docs, fold != 2))
     found = language.with_language(docs.select("doc_id", "text"), models)
     return found.select("doc_id", (fold == 2).alias("held_out"), "language.lang_pred", "language.score")
+
+
+#: Rows that take part, with their integers as doubles, which hold every product here exactly.
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0"
+
+TOP_PRODUCTS_SQL = f"""
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings WHERE {_FINITE}),
+    p AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM p QUALIFY rank <= 20"""
+
+
+@query("op11_top_products", TOP_PRODUCTS_SQL)
+def op11(spark, sf_dir):
+    return top_products.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+HARD_NEGATIVES_SQL = f"""
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+    p AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_inner_product(a.x, v.x)::BIGINT AS score
+        FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+    pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM pos JOIN p USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10"""
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def op12(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
