@@ -80,44 +80,49 @@ def blocks(rows: DataFrame, dimension: int, size: int, extra: Callable[[np.ndarr
     length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double")))
     order = [F.desc("#norm"), F.col("#mix"), F.col("vec_id")]
     placed = rows.withColumn("#norm", length).withColumn("#mix", F.xxhash64("vec_id", "x")).repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = placed.select(F.spark_partition_id().alias("#part"), *others, "x")
+    # the range and the place in it, in one number
+    placed = scratch.cut(placed.select(F.monotonically_increasing_id().alias("#at"), *others, "x"), f"{tag}-placed")
+    part = F.shiftright("#at", 33)
+    # one row per range, of which there are as many as shuffle partitions
+    counts = sorted(tuple(r) for r in placed.groupBy(part.alias("part")).count().collect())
+    starts, total = [], 0
+    for at, count in counts:
+        starts.append((at, total))
+        total += count
+    first = rows.sparkSession.createDataFrame(starts, "`#part` long, `#first` long")
+    rank = F.col("#first") + F.col("#at").bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = placed.withColumn("#part", part).join(first, "#part").select(F.floor(rank / size).cast("long").alias("#no"), "#at", *others, "x")
+    dealt = dealt.repartition("#no").sortWithinPartitions("#no", "#at").drop("#at")
 
-    def finish(part: int, seq: int, held: list[Arrays]) -> pa.RecordBatch:
+    def finish(no: int, held: list[Arrays]) -> pa.RecordBatch:
         arrays = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
         x = arrays["x"].astype(np.float64)
         arrays |= {"norm": np.sqrt((x * x).sum(axis=1))} | extra(x)
-        cells = [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([float(arrays["norm"].max())]), pa.array([pack(arrays)], pa.binary())]
-        return pa.RecordBatch.from_arrays(cells, names=["part", "seq", "top", "body"])
+        cells = [pa.array([no]), pa.array([float(arrays["norm"].max())]), pa.array([pack(arrays)], pa.binary())]
+        return pa.RecordBatch.from_arrays(cells, names=["no", "top", "body"])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Arrays] = []
-        part, seq, n = 0, 0, 0
+        at = -1
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = batch.column("#part")[0].as_py()
             own = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in others} | {"x": matrix(batch.column("x"), dimension)}
-            at = 0
-            while at < batch.num_rows:
-                take = min(size - n, batch.num_rows - at)
-                held.append({c: v[at:at + take] for c, v in own.items()})
-                at, n = at + take, n + take
-                if n == size:
-                    yield finish(part, seq, held)
-                    held, seq, n = [], seq + 1, 0
+            no = batch.column("#no").to_numpy()
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(no)) + 1, [len(no)]))
+            for a, b in zip(edges[:-1], edges[1:]):
+                if no[a] != at and held:
+                    yield finish(at, held)
+                    held = []
+                at = int(no[a])
+                held.append({c: v[a:b] for c, v in own.items()})
         if held:
-            yield finish(part, seq, held)
+            yield finish(at, held)
 
     with arrow_rows(rows.sparkSession, dimension):
-        stored = scratch.cut(placed.mapInArrow(cut, "part int, seq int, top double, body binary"), tag)
-    # one row per range, of which there are as many as shuffle partitions
-    counts = sorted((r[0], r[1]) for r in stored.groupBy("part").count().collect())
-    starts, total = [], 0
-    for part, count in counts:
-        starts.append((part, total))
-        total += count
-    first = rows.sparkSession.createDataFrame(starts, "part int, first long")
-    return stored.join(first, "part").select((F.col("first") + F.col("seq")).alias("no"), "top", "body"), total
+        stored = scratch.cut(dealt.mapInArrow(gather, "no long, top double, body binary"), tag)
+    scratch.drop(placed)
+    return stored, -(-total // size)
 
 
 def best(row: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
