@@ -1,173 +1,212 @@
 """Jaro-Winkler similarity: the one string measure Spark has no built-in for.
 
 Spark does the partitioning and the cheap cases (null, equal, length bound) as column
-expressions; only pairs that could still reach the lowest threshold are sent in Arrow
-batches to a small numpy helper that works on the whole batch at once.
+expressions. The rest goes in Arrow batches to numpy: common characters bound a pair's score,
+and what can still reach the lowest threshold is matched for many pairs at once, whatever the
+length of the strings.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
-from pyspark.sql import types as T
 
 # The prefix bonus and the score above which it applies.
 PREFIX_WEIGHT = 0.1
 PREFIX_LENGTH = 4
 BOOST_ABOVE = 0.7
 
-_WORD = 64
-_LONG = 512  # longer strings are handled one by one
-_CELLS = 1 << 21  # bound on the 64-bit cells of the position index of one batch
-_LOW_BITS = np.array([(1 << k) - 1 for k in range(_WORD + 1)], dtype=np.uint64)
+_CELLS = 1 << 19  # characters and alphabet cells of the pairs that are matched at once
+_COUNTS = 1 << 22  # cells of the character counts compared at once
+_NONE = 1 << 30  # no position
+
+
+class _Strings:
+    """Distinct strings as one run of code points, later of dense character numbers."""
+
+    def __init__(self, values: list[str]) -> None:
+        self.length = np.array([len(v) for v in values], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.codes = np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        self.owner = np.repeat(np.arange(len(values)), self.length)
+
+    def prefix(self, which: np.ndarray) -> np.ndarray:
+        """First characters of the chosen strings, minus one behind their end."""
+        at = np.arange(PREFIX_LENGTH)
+        inside = at < self.length[which][:, None]
+        found = self.codes.take(np.where(inside, self.start[which][:, None] + at, 0), mode="clip").astype(np.int64)
+        return np.where(inside, found, -1)
+
+
+def _number_characters(*strings: _Strings) -> int:
+    """Replace code points by dense numbers; the size of the alphabet."""
+    seen = np.zeros(max(int(s.codes.max()) for s in strings) + 1, dtype=np.int64)
+    for s in strings:
+        seen[s.codes] = 1
+    number = np.cumsum(seen) - 1
+    for s in strings:
+        s.codes = number[s.codes]
+    return int(number[-1]) + 1
+
+
+def _pieces(weight: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Consecutive ranges of about ``limit`` summed weight, of at least one element each."""
+    total, out, at = np.cumsum(weight), [], 0
+    while at < len(weight):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, side="right")))
+        out.append((at, end))
+        at = end
+    return out
 
 
-def _encode(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points as a matrix padded with zeros, and the lengths."""
-    lengths = np.array([len(v) for v in values], dtype=np.int64)
-    width = max(int(lengths.max()), 1)
-    return np.array(values, dtype=f"U{width}").view(np.uint32).reshape(len(values), width), lengths
+def _common_characters(left: _Strings, right: _Strings, a: np.ndarray, b: np.ndarray, alphabet: int) -> np.ndarray:
+    """Characters that the strings of each pair share, with multiplicity. No more than these can match."""
+    out = np.zeros(len(a), dtype=np.int64)
+
+    def counts(strings: _Strings, first: int, end: int) -> np.ndarray:
+        own = (strings.owner >= first) & (strings.owner < end)
+        cells = (strings.owner[own] - first) * alphabet + strings.codes[own]
+        return np.bincount(cells, minlength=(end - first) * alphabet).reshape(end - first, alphabet).astype(np.int32)
+
+    step = max(1, _COUNTS // alphabet)
+    for i in range(0, len(left.length), step):
+        for j in range(0, len(right.length), step):
+            own = np.flatnonzero((a >= i) & (a < i + step) & (b >= j) & (b < j + step))
+            if len(own):
+                x, y = counts(left, i, min(i + step, len(left.length))), counts(right, j, min(j + step, len(right.length)))
+                for k in range(0, len(own), step):
+                    some = own[k:k + step]
+                    out[some] = np.minimum(x[a[some] - i], y[b[some] - j]).sum(axis=1)
+    return out
 
 
-def _low_mask(bits: np.ndarray, word: int) -> np.ndarray:
-    """Mask of the positions below ``bits`` that fall into a 64-bit word."""
-    return _LOW_BITS[np.clip(bits - word * _WORD, 0, _WORD)]
+def _jaro(left: _Strings, right: _Strings, a: np.ndarray, b: np.ndarray, alphabet: int) -> np.ndarray:
+    """Jaro similarity of the pairs ``left[a], right[b]`` of non-empty strings.
 
+    Of each character, the positions in the left string form a queue: one leaves it when it is
+    matched, or when the window of the right string's place has passed it. As the windows only
+    move on, the head of the queue is the lowest free position inside or behind the window, so a
+    place of the right string takes the head if that is not behind the window, else nothing.
+    All pairs of a piece take their steps side by side, those with long right strings first.
+    """
+    out = np.zeros(len(a))
+    key = left.owner * alphabet + left.codes
+    order = np.argsort(key, kind="stable")
+    place = (np.arange(len(key)) - left.start[left.owner]).astype(np.int32)
+    following = np.full(len(key), _NONE, dtype=np.int32)  # next position of the same character
+    same = key[order][1:] == key[order][:-1]
+    following[order[:-1][same]] = place[order[1:][same]]
+    heads = order[np.concatenate(([True], ~same))]
+    head_key, head_place = key[heads], place[heads]
+    by = np.argsort(-right.length[b], kind="stable")
+    for at, end in _pieces(left.length[a[by]] + right.length[b[by]] + alphabet, _CELLS):
+        own = by[at:end]
+        x, y, n = a[own], b[own], end - at
+        p_len, t_len, p_start, t_start = left.length[x], right.length[y], left.start[x], right.start[y]
+        reach = np.maximum(np.maximum(p_len, t_len) // 2 - 1, 0)
+        row = np.arange(n) * alphabet
+        kinds, which = np.unique(x, return_inverse=True)
+        queues = np.full((len(kinds), alphabet), _NONE, dtype=np.int32)
+        some = np.isin(head_key // alphabet, kinds)
+        queues[np.searchsorted(kinds, head_key[some] // alphabet), head_key[some] % alphabet] = head_place[some]
+        head = queues[which].ravel()
+        width = int(t_len[0])
+        hit, taken = np.zeros((width, n), dtype=bool), np.zeros((width, n), dtype=np.int32)
+        going = np.searchsorted(-t_len, -np.arange(1, width + 1), side="right")
+        last, now, passed = reach.astype(np.int32), t_start.copy(), p_start - reach - 1
+        closest = int(reach.min())
+        for j in range(width):
+            k = going[j]
+            if j > closest:
+                left_behind = np.flatnonzero((reach[:k] < j) & (p_len[:k] > j - 1 - reach[:k]))
+                if len(left_behind):
+                    position = passed[left_behind] + j
+                    cell = left.codes.take(position) + row[left_behind]
+                    front = head.take(cell)
+                    head[cell] = np.where(front == position - p_start[left_behind], following.take(position), front)
+            cell = right.codes.take(now[:k]) + row[:k]
+            front = head.take(cell, out=taken[j, :k], mode="clip")
+            found = np.less_equal(front, last[:k], out=hit[j, :k])
+            head[cell] = np.where(found, following.take(p_start[:k] + front, mode="clip"), front)
+            now += 1
+            last += 1
+        hit, taken = np.ascontiguousarray(hit.T), taken.T
+        pair, t_place = np.nonzero(hit)
+        p_first = np.cumsum(p_len) - p_len
+        matched = np.zeros(int(p_len.sum()), dtype=bool)
+        matched[p_first[pair] + taken[hit]] = True
+        # both sides list their matched characters in order, equally many for each pair
+        differs = left.codes[np.flatnonzero(matched) + (p_start - p_first)[pair]] != right.codes[t_start[pair] + t_place]
+        m = np.bincount(pair, minlength=n).astype(float)
+        swaps = np.bincount(pair, weights=differs, minlength=n).astype(np.int64) // 2
+        some = m > 0
+        m, found = m[some], np.zeros(n)
+        found[some] = (m / p_len[some] + m / t_len[some] + (m - swaps[some]) / m) / 3.0
+        out[own] = found
+    return out
 
-def _jaro(first: list[str], second: list[str]) -> np.ndarray:
-    """Jaro similarity of aligned lists of non-empty strings.
 
-    The positions of every character of the first string are kept as bit sets, one row per
-    pair, so each step over the second strings handles the whole batch with a few bit
-    operations: candidates = positions of the character, still free, inside the window; the
-    lowest one is taken.
-    """
-    p, p_len = _encode(first)
-    t, t_len = _encode(second)
-    n = len(first)
-    rows = np.arange(n)
-    seen = np.zeros(int(max(p.max(), t.max())) + 1, dtype=np.int64)
-    seen[p] = 1
-    seen[t] = 1
-    number = np.cumsum(seen) - 1  # dense code per character
-    size = int(number[-1]) + 1
-    p_cell = number[p.T] * n + rows  # [position, pair] -> cell of (character, pair)
-    t_cell = number[t.T] * n + rows
-    words = -(-p.shape[1] // _WORD)
-    index = np.zeros((words, size * n), dtype=np.uint64)
-    for i in range(p.shape[1]):
-        line = index[i // _WORD]
-        line[p_cell[i]] = line.take(p_cell[i]) | np.uint64(1 << (i % _WORD))
-    valid = np.stack([_low_mask(p_len, w) for w in range(words)])
-    free = valid.copy()
-    reach = np.maximum(np.maximum(p_len, t_len) // 2 - 1, 0)
-    shortest, longest = int(reach.min()), int(reach.max())
-    hits = np.zeros((t.shape[1], n), dtype=bool)
-    for j in range(t.shape[1]):
-        hit = hits[j]
-        first_word = max(0, j - longest) // _WORD
-        last_word = min(words - 1, (j + longest) // _WORD)
-        for w in range(first_word, last_word + 1):
-            found = index[w].take(t_cell[j])
-            found &= free[w]
-            if j + shortest + 1 < (w + 1) * _WORD:  # some window ends inside this word
-                found &= _low_mask(j + reach + 1, w)
-            if j - shortest > w * _WORD:  # some window starts inside this word
-                found &= ~_low_mask(j - reach, w)
-            if w > first_word:
-                found[hit] = 0
-            found &= ~found + np.uint64(1)
-            free[w] ^= found
-            hit |= found != 0
-    t_hit = hits.T
-    taken = np.ascontiguousarray((valid & ~free).T).view(np.uint8)
-    p_hit = np.unpackbits(taken, axis=1, bitorder="little")[:, : p.shape[1]].astype(bool)
-    common = t_hit.sum(axis=1)
-    # both selections list the matched characters row by row, in order, equally many per row
-    differs = p[p_hit] != t[t_hit]
-    swaps = np.bincount(np.repeat(rows, common), weights=differs, minlength=n).astype(np.int64) // 2
-    score = np.zeros(n)
-    some = common > 0
-    m = common[some].astype(float)
-    score[some] = (m / p_len[some] + m / t_len[some] + (m - swaps[some]) / m) / 3.0
-    return score
-
-
-def _jaro_long(p: str, t: str) -> float:
-    """The same for one pair of long strings, with one unbounded bit set per character."""
-    where: dict[str, int] = {}
-    for i, c in enumerate(p):
-        where[c] = where.get(c, 0) | (1 << i)
-    reach = max(max(len(p), len(t)) // 2 - 1, 0)
-    taken, matched = bytearray(len(p)), []
-    for j, c in enumerate(t):
-        low = max(j - reach, 0)
-        ahead = where.get(c, 0) >> low
-        if ahead:
-            at = (ahead & -ahead).bit_length() - 1 + low
-            if at <= j + reach:
-                where[c] ^= 1 << at
-                taken[at] = 1
-                matched.append(c)
-    m = len(matched)
-    if m == 0:
-        return 0.0
-    in_order = (c for c, hit in zip(p, taken) if hit)
-    swaps = sum(a != b for a, b in zip(in_order, matched)) // 2
-    return (m / len(p) + m / len(t) + (m - swaps) / m) / 3.0
+def _boosted(jaro: np.ndarray, prefix: np.ndarray | int) -> np.ndarray:
+    return np.where(jaro > BOOST_ABOVE, np.minimum(jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), 1.0), jaro)
+
+
+def _scores(left: list[str], right: list[str], a: np.ndarray, b: np.ndarray, at_least: float | None) -> np.ndarray:
+    """Jaro-Winkler of ``left[a], right[b]``; not a number where it is known to be below ``at_least``."""
+    out = np.zeros(len(a))
+    p, t = _Strings(left), _Strings(right)
+    live = np.flatnonzero((p.length[a] > 0) & (t.length[b] > 0))
+    if not len(live):
+        return out
+    alphabet = _number_characters(p, t)
+    a, b = a[live], b[live]
+    if at_least is not None:
+        common = _common_characters(p, t, a, b, alphabet)
+        bound = _boosted((common / p.length[a] + common / t.length[b] + 1.0) / 3.0, PREFIX_LENGTH)
+        fine = bound >= at_least - 1e-12
+        out[live[~fine]] = np.nan
+        live, a, b = live[fine], a[fine], b[fine]
+        if not len(live):
+            return out
+    jaro = _jaro(p, t, a, b, alphabet)
+    high = np.flatnonzero(jaro > BOOST_ABOVE)
+    x, y = p.prefix(a[high]), t.prefix(b[high])
+    prefix = np.cumprod((x == y) & (x >= 0), axis=1).sum(axis=1)
+    jaro[high] = _boosted(jaro[high], prefix)
+    out[live] = jaro
+    return out
 
 
 def jaro_winkler_pairs(first: list[str], second: list[str]) -> np.ndarray:
     """Jaro-Winkler of aligned lists; an empty string scores 0."""
-    out = np.zeros(len(first))
-    lengths = np.array([max(len(a), len(b)) if a and b else 0 for a, b in zip(first, second)], dtype=np.int64)
-    for i in np.flatnonzero(lengths > _LONG):
-        out[i] = _jaro_long(first[i], second[i])
-    order = np.argsort(lengths, kind="stable")
-    order = order[(lengths[order] > 0) & (lengths[order] <= _LONG)]
-    start = 0
-    while start < len(order):
-        # neighbours in length order share one matrix, so padding stays small
-        stop = start + 1
-        base = lengths[order[start]]
-        while stop < len(order):
-            longest = lengths[order[stop]]
-            if longest > 1.25 * base + 16 or (stop + 1 - start) * longest > _CELLS:
-                break
-            stop += 1
-        chosen = order[start:stop]
-        out[chosen] = _jaro([first[i] for i in chosen], [second[i] for i in chosen])
-        start = stop
-    for i in np.flatnonzero(out > BOOST_ABOVE):
-        a, b = first[i], second[i]
-        prefix = 0
-        while prefix < min(PREFIX_LENGTH, len(a), len(b)) and a[prefix] == b[prefix]:
-            prefix += 1
-        out[i] = min(out[i] + prefix * PREFIX_WEIGHT * (1.0 - out[i]), 1.0)
-    return out
-
+    at = np.arange(len(first))
+    return _scores(first, second, at, at, None)
 
-@F.pandas_udf(T.DoubleType())
-def _jaro_winkler_udf(first: pd.Series, second: pd.Series) -> pd.Series:
-    both = first.notna() & second.notna()
-    result = np.full(len(first), np.nan)
-    if both.any():
-        pairs = pd.DataFrame({"a": first[both], "b": second[both]})
-        group = pairs.groupby(["a", "b"], sort=False).ngroup().to_numpy()
-        distinct = pairs.drop_duplicates()
-        scores = jaro_winkler_pairs(distinct["a"].tolist(), distinct["b"].tolist())
-        result[both.to_numpy()] = scores[group]
-    return pd.Series(result).where(both.to_numpy(), None)
 
+@cache
+def _measure(at_least: float | None):
+    # marked so that the optimiser never evaluates it a second time below a filter on its result
+    @F.arrow_udf("double")
+    def jaro_winkler_of(first: pa.Array, second: pa.Array) -> pa.Array:
+        rows = np.flatnonzero(first.is_valid().to_numpy(zero_copy_only=False) & second.is_valid().to_numpy(zero_copy_only=False))
+        out, known = np.zeros(len(first)), np.zeros(len(first), dtype=bool)
+        if len(rows):
+            # pairs of a block repeat their strings, so each is read once
+            p, t = (side.take(pa.array(rows)).dictionary_encode() for side in (first, second))
+            a, b = (side.indices.to_numpy().astype(np.int64) for side in (p, t))
+            pairs, back = np.unique(a * len(t.dictionary) + b, return_inverse=True)
+            found = _scores(p.dictionary.to_pylist(), t.dictionary.to_pylist(), pairs // len(t.dictionary), pairs % len(t.dictionary), at_least)[back]
+            out[rows], known[rows] = found, ~np.isnan(found)
+        return pa.array(out, mask=~known)
 
-# Marked so that the optimiser never evaluates it a second time below a filter on its result.
-_jaro_winkler_once = _jaro_winkler_udf.asNondeterministic()
+    return jaro_winkler_of.asNondeterministic()
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
     """Jaro-Winkler similarity as a column; null when either side is null."""
-    return _jaro_winkler_once(a, b)
+    return _measure(None)(a, b)
 
 
 def similarity_upper_bound(a: Column, b: Column) -> Column:
@@ -184,4 +223,4 @@ def jaro_winkler_above(a: Column, b: Column, at_least: float) -> Column:
     Nulls reach the Python worker for skipped rows, so it does no work for them.
     """
     needed = (a != b) & (similarity_upper_bound(a, b) >= at_least)
-    return _jaro_winkler_once(F.when(needed, a), F.when(needed, b))
+    return _measure(float(at_least))(F.when(needed, a), F.when(needed, b))

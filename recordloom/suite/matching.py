@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators import blocking, model, resolution, training
 from recordloom.session import cut_lineage
+from recordloom.settings import MAX_RANDOM_PAIRS
 from recordloom.suite import corpus
 from recordloom.suite.base import query
 
@@ -171,13 +172,23 @@ def prior_estimate(spark, sf_dir):
     return out.withColumn("prior", F.round("prior", 12))
 
 
-@query("u_estimate")
+def _drawn_sql() -> str:
+    """Pairs of the records whose digest draws them, with their levels."""
+    sides = ", ".join(f"l.{c} AS {c}_l, r.{c} AS {c}_r" for c in corpus.COLUMNS)
+    levels = ", ".join(f"CAST({corpus.level_sql(c)} AS INTEGER) AS {c.gamma}" for c in corpus.COMPARISONS)
+    return f"""{corpus.ALL_SQL},
+    drawn AS (SELECT * FROM nodes WHERE ('0x' || substr(md5('u/' || node_id), 1, 13))::BIGINT
+        < floor(least(1.0::DOUBLE, sqrt(2.0::DOUBLE * {MAX_RANDOM_PAIRS}) / (SELECT count(*) FROM nodes)) * {1 << 52})),
+    vec AS (SELECT {levels} FROM (SELECT {sides} FROM drawn l JOIN drawn r ON l.node_id < r.node_id)),
+    n AS ({" UNION ALL ".join(f"SELECT '{c.column}' AS comparison, {c.gamma} AS level, count(*) AS n FROM vec WHERE {c.gamma} >= 0 GROUP BY 2" for c in corpus.COMPARISONS)})"""
+
+
+@query("u_estimate", f"""WITH {_drawn_sql()} SELECT comparison, level, n, round(n / sum(n) OVER (PARTITION BY comparison), 12) AS u FROM n""")
 def u_estimate(spark, sf_dir):
-    """Level shares among random pairs. The pairs are hashed draws, so there is no SQL twin;
-    the tests compare them with all pairs of a small fixture."""
-    records = corpus.records(spark, sf_dir)
+    """Level shares among random pairs."""
+    records = cut_lineage(corpus.records(spark, sf_dir).select("node_id", *corpus.COLUMNS), "records")
     pairs = training.random_pairs(records, corpus.COLUMNS, records.count())
-    return training.level_shares(model.comparison_vectors(pairs, corpus.COMPARISONS), corpus.COMPARISONS)
+    return training.level_shares(model.comparison_vectors(pairs, corpus.COMPARISONS), corpus.COMPARISONS).withColumn("u", F.round("u", 12))
 
 
 @query("em_train")

@@ -7,7 +7,7 @@ from hypothesis import given, settings as hsettings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from recordloom.functions.similarity import _jaro_long, jaro_winkler_pairs
+from recordloom.functions.similarity import _scores, jaro_winkler, jaro_winkler_above, jaro_winkler_pairs
 from recordloom.operators import blocking, components, model, resolution, training
 from recordloom.operators.blocking import block_on
 from recordloom.operators.model import MatchModel, exact_match, jaro_winkler_at
@@ -25,16 +25,41 @@ def test_jaro_winkler_equals_duckdb(pairs):
     assert np.allclose(jaro_winkler_pairs(a, b), want, atol=1e-12)
 
 
-def test_long_strings_agree_with_the_batch_path():
+def _duckdb(a, b):
+    found = duckdb.execute("SELECT jaro_winkler_similarity(x, y) FROM (SELECT unnest(?) AS x, unnest(?) AS y, unnest(range(?)) AS i) ORDER BY i", [a, b, len(a)])
+    return [r[0] for r in found.fetchall()]
+
+
+@pytest.mark.parametrize("letters", ["AB", "ABCDEFGHIJKLMNOPQRSTUVWXYZ     "])
+def test_strings_of_any_length_equal_duckdb(letters):
+    """Lengths far apart, so that windows leave positions behind, and more cells than one piece holds."""
     rng = random.Random(3)
-    a = ["".join(rng.choice("ABCDE ") for _ in range(rng.randint(100, 500))) for _ in range(20)]
-    b = ["".join(rng.choice("ABCDE ") for _ in range(rng.randint(100, 500))) for _ in range(20)]
-    long = [_jaro_long(x, y) for x, y in zip(a, b)]
-    batch = jaro_winkler_pairs(["#" + x for x in a], ["%" + y for y in b])  # no common prefix, so no bonus
-    plain = [_jaro_long("#" + x, "%" + y) for x, y in zip(a, b)]
-    assert all(0 < s <= 1 for s in long)
-    assert np.allclose(batch, plain)
-    assert jaro_winkler_pairs(["é" * 600], ["é" * 600])[0] == 1.0
+    text = lambda: "".join(rng.choice(letters) for _ in range(int(10 ** rng.uniform(0, 3.7))))
+    a, b = [text() for _ in range(400)], [text() for _ in range(400)]
+    a += [x + "Z" * 700 + y for x, y in zip(a[:50], b)]
+    b += [x + "Y" * 600 + y for x, y in zip(a[:50], b)]
+    assert np.allclose(jaro_winkler_pairs(a, b), _duckdb(a, b), atol=1e-12)
+    assert jaro_winkler_pairs(["é" * 600, "", "\U0001F600x" * 999], ["é" * 600, "x", "\U0001F600x" * 999]).tolist() == [1.0, 0.0, 1.0]
+
+
+def test_common_characters_bound_the_score():
+    rng = random.Random(4)
+    a = ["".join(rng.choice("ABCDEFGH") for _ in range(rng.randint(0, 900))) for _ in range(60)]
+    b = ["".join(rng.choice("EFGHIJKL" if i % 2 else "ABCDEFGH") for _ in range(rng.randint(0, 900))) for i in range(60)]
+    left, right = np.repeat(np.arange(60), 60), np.tile(np.arange(60), 60)
+    whole, cut = _scores(a, b, left, right, None), _scores(a, b, left, right, 0.7)
+    assert np.isnan(cut).any() and (whole[np.isnan(cut)] < 0.7).all()
+    assert np.array_equal(whole[~np.isnan(cut)], cut[~np.isnan(cut)])
+
+
+def test_similarity_column(spark):
+    pairs = [("ALPHA", "ALPHB"), (None, "X"), ("X", None), ("ALPHA", "ALPHB"), ("Q" * 900, "Q" * 899 + "R"), ("ABC", "XYZ"), ("SAME", "SAME"), ("", "X")]
+    df = spark.createDataFrame(pairs, "a string, b string").coalesce(1)
+    whole = [r[0] for r in df.select(jaro_winkler(F.col("a"), F.col("b"))).collect()]
+    assert [w is None for w in whole] == [a is None or b is None for a, b in pairs]
+    assert np.allclose([w for w in whole if w is not None], _duckdb(*map(list, zip(*[p for p in pairs if None not in p]))))
+    above = [r[0] for r in df.select(jaro_winkler_above(F.col("a"), F.col("b"), 0.7)).collect()]
+    assert [x is not None for x in above] == [True, False, False, True, True, False, False, False]
 
 
 COMPARISONS = (exact_match("eid", True), jaro_winkler_at("name", term_frequency=True), exact_match("city"))
