@@ -12,6 +12,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordloom.functions.similarity import jaro_winkler_above, similarity_upper_bound
+from recordloom.operators.skew import heavy_keys, split_join
 
 PROBABILITY_FLOOR = 1e-6
 
@@ -175,10 +176,16 @@ def term_frequencies(records: DataFrame, column: str, weight: str | None = None)
 
 
 def with_term_frequencies(profile_rows: DataFrame, comparisons: Sequence[Comparison], weight: str) -> DataFrame:
-    """Attach term frequencies to profiles, before pairing, so pairs carry them for free."""
+    """Attach term frequencies to profiles, before pairing, so pairs carry them for free.
+
+    Profiles without a value, often most of them, and those of a very common one are split.
+    """
+    own = profile_rows
     for c in comparisons:
         if c.term_frequency:
-            profile_rows = profile_rows.join(term_frequencies(profile_rows, c.column, weight), c.column, "left")
+            rows = own.groupBy(c.column).agg(F.count(F.lit(1)).alias("_rows"))
+            frequencies = term_frequencies(own, c.column, weight)
+            profile_rows = split_join(profile_rows, frequencies, c.column, heavy_keys(rows, c.column, "_rows"), ["pid"], "left")
     return profile_rows
 
 

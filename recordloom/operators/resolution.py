@@ -11,6 +11,7 @@ from recordloom.operators.blocking import (
 )
 from recordloom.operators.components import connected_components
 from recordloom.operators.model import MatchModel, can_reach, comparison_vectors, required_equalities, score_pairs
+from recordloom.operators.skew import heavy_keys, split_join
 from recordloom.settings import CLUSTER_ID, CLUSTER_THRESHOLD, DATA_SOURCE, PREDICT_THRESHOLD, UNIQUE_ID
 
 
@@ -69,10 +70,12 @@ def cluster(
         .join(copies_match, PID, "left")
     )
     named = components.join(profile_rows.select(F.col(PID).alias("node"), "first_node"), "node").groupBy("component").agg(
-        F.min("first_node").alias("_name")
+        F.min("first_node").alias("_name"), F.count(F.lit(1)).alias("_size")
     )
     alone = F.when(F.coalesce("_same", F.lit(False)) | (F.col(COPIES) == 1), F.col("first_node"))
-    return placed.join(named, "component", "left").select(PID, F.coalesce("_name", alone).alias(CLUSTER_ID))
+    # most profiles match nothing and have no component; a component may hold any part of the others
+    joined = split_join(placed, named.drop("_size"), "component", heavy_keys(named, "component", "_size"), [PID], "left")
+    return joined.select(PID, F.coalesce("_name", alone).alias(CLUSTER_ID))
 
 
 def links(identified: DataFrame, clusters: DataFrame, key_names: Mapping[str, str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.text import canonical, strip
+from recordloom.operators.skew import heavy_keys, split_join
 from recordloom.session import cut_lineage
 from recordloom.settings import CLUSTER_ID, COMPOSITE_ID, DATA_SOURCE, HASH_DIFF, LOAD_TS, ORPHAN_PREFIX
 from recordloom.specs import DATE
@@ -99,7 +100,8 @@ def score_members(members: DataFrame) -> DataFrame:
     keys = data_keys(members)
     populated = _count([_populated(_as_text(members, k)) for k in keys])
     sizes = members.groupBy(CLUSTER_ID).agg(F.count(F.lit(1)).alias("_size"))
-    sized = members.join(sizes, CLUSTER_ID).withColumn("_populated", populated)
+    heavy = heavy_keys(sizes, CLUSTER_ID, "_size")
+    sized = split_join(members, sizes, CLUSTER_ID, heavy, [COMPOSITE_ID]).withColumn("_populated", populated)
 
     cells = F.explode(
         F.array_compact(
@@ -121,7 +123,8 @@ def score_members(members: DataFrame) -> DataFrame:
         .select(COMPOSITE_ID, F.struct(CLUSTER_ID, "c.field", "c.value").alias("cell"))
     )
     agreement = long.groupBy("cell").agg((F.count(F.lit(1)) - 1).alias("_others")).where(F.col("_others") > 0)
-    points = long.join(agreement, "cell").groupBy(COMPOSITE_ID).agg(F.sum("_others").alias("_points"))
+    shared = split_join(long, agreement, "cell", heavy_keys(agreement, "cell", "_others"), [COMPOSITE_ID])
+    points = shared.groupBy(COMPOSITE_ID).agg(F.sum("_others").alias("_points"))
 
     scored = sized.join(points, COMPOSITE_ID, "left")
     possible = F.col("_populated") * (F.col("_size") - 1)
@@ -146,7 +149,7 @@ def _rank() -> Column:
 
 
 def pick_anchors(scored: DataFrame, anchor_sources: Sequence[str] = ANCHOR_SOURCES) -> DataFrame:
-    """One row per cluster: the anchor row (null when there is none) and the reject reason."""
+    """One row per cluster: the anchor row (null when there is none), the reject reason and the cluster's size."""
     valid_source = F.col(DATA_SOURCE).isin(list(anchor_sources))
     eligible = valid_source & _present(scored, "entity_id")
     row = F.struct(*[F.col(c) for c in scored.columns if c != CLUSTER_ID])
@@ -154,17 +157,19 @@ def pick_anchors(scored: DataFrame, anchor_sources: Sequence[str] = ANCHOR_SOURC
         F.min_by(row, F.when(eligible, _rank())).alias("anchor"),
         F.bool_or(valid_source).alias("_source"),
         F.bool_or(_present(scored, "company_name")).alias("_name"),
+        F.count(F.lit(1)).alias("n_members"),
     )
     reason = F.when(~F.coalesce("_source", F.lit(False)), NO_SOURCE).when(F.col("anchor").isNull(), NO_KEY).when(
         ~F.coalesce("_name", F.lit(False)), NO_NAME
     )
-    return picked.select(CLUSTER_ID, "anchor", reason.alias("reject_reason"))
+    return picked.select(CLUSTER_ID, "anchor", reason.alias("reject_reason"), "n_members")
 
 
 def with_anchor_agreement(scored: DataFrame, anchors: DataFrame) -> DataFrame:
     """Members with ``is_anchor``, their agreement with the anchor and the reject reason of their cluster."""
     keys = data_keys_of_scored(scored)
-    joined = scored.join(anchors, CLUSTER_ID)
+    heavy = heavy_keys(anchors, CLUSTER_ID, "n_members")
+    joined = split_join(scored, anchors.drop("n_members"), CLUSTER_ID, heavy, [COMPOSITE_ID])
 
     def both(k: str) -> Column:
         theirs = F.col(f"anchor.{k}")
