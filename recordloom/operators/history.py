@@ -3,7 +3,7 @@
 A history holds one row per version of a record: its columns, ``hdiff``, ``ldts`` and the
 half-open validity interval ``[valid_from, valid_to)``; ``valid_to`` is null for the current
 version. The functions are pure DataFrame plans. ``HistoryTable`` stores a history as
-Parquet so that an upsert appends closed rows and rewrites only the current ones.
+Parquet so that an upsert appends closed rows and rewrites only the buckets it changes.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from recordloom.sources.writers import write_parquet
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 ACTION = "action"
+BUCKET = "_bucket"
 
 
 def initialise(batch: DataFrame, version: int = 1) -> DataFrame:
@@ -166,20 +167,29 @@ def history_feed(history: DataFrame, primary_key: Sequence[str], since: int = 1)
 
 
 class HistoryTable:
-    """A history on storage. ``current/v=N`` holds the live rows of version N, partitioned by
-    the partition column; ``closed/v=N`` the rows that N closed; ``commits/v=N`` its time.
+    """A history as plain Parquet: ``live`` holds the current rows, dealt to buckets by a hash of
+    the key, ``closed/v=N`` the rows that version N closed, ``commits/v=N`` its time.
 
-    A version exists once its commit marker is written, so a job that dies half-way leaves
-    the previous version in place.
+    An upsert compares keys and hashes first and rewrites only the buckets that a changed row
+    falls into; a batch that changes nothing writes nothing. The rows of a version are stored
+    aside before they replace anything, so a writer that died is finished by the next one. One
+    writer at a time; a reader beside it may see buckets of both versions.
     """
 
-    def __init__(self, spark: SparkSession, path: str, primary_key: Sequence[str], partition_key: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, primary_key: Sequence[str], partition_key: str | None = None, buckets: int = 16):
         self.spark, self.path = spark, path.rstrip("/")
-        self.primary_key, self.partition_key = tuple(primary_key), partition_key
+        self.primary_key, self.partition_key, self.buckets = tuple(primary_key), partition_key, buckets
 
-    def _exists(self, path: str) -> bool:
+    def _folder(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str) -> bool:
+        files, p = self._folder(path)
+        return files.exists(p)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.primary_key), F.lit(self.buckets)).cast("int")
 
     def commits(self) -> DataFrame | None:
         """One row per version: its time, the schema of its live rows and the batch that made it, if it had a name."""
@@ -201,18 +211,17 @@ class HistoryTable:
             raise ValueError(f"{self.path} has no version {version}")
         return T.StructType.fromJson(json.loads(row["live_schema"]))
 
-    def _live(self, version: int) -> DataFrame:
-        # a stated schema keeps partition values as they are ("07101" must not become a number)
-        schema = self._schema(version)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/current/v={version}").select(*schema.fieldNames())
+    def _live(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        schema = self._schema(self.version())
+        rows = self.spark.read.schema(T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])).parquet(f"{self.path}/live")
+        return (rows if buckets is None else rows.where(F.col(BUCKET).isin(list(buckets)))).select(*schema.fieldNames())
 
     def history(self) -> DataFrame:
         """All rows with their intervals, with the columns of all versions; null where a version had none.
 
         A column whose type an overwrite changed can only be read by version once no closed row has it.
         """
-        version = self.version()
-        live = self._live(version).withColumn(VALID_TO, F.lit(None).cast("bigint"))
+        live = _opened(self._live())
         if not self._exists(f"{self.path}/closed"):
             return live
         fields = {f.name: f for f in live.schema}
@@ -220,27 +229,24 @@ class HistoryTable:
             for f in T.StructType.fromJson(json.loads(row["live_schema"])):
                 fields.setdefault(f.name, f)
         closed = self.spark.read.schema(T.StructType(list(fields.values()))).parquet(f"{self.path}/closed")
-        # rows closed by a version that never committed are not part of the table
-        return live.unionByName(closed.where(F.col(VALID_TO) <= version).select(*fields), allowMissingColumns=True)
+        return live.unionByName(closed.select(*fields), allowMissingColumns=True)
 
     def read(self, version: int | None = None, timestamp=None) -> DataFrame:
         """The rows of a version with the columns that it had; the newest by default."""
         if timestamp is not None:
             version = self.version(timestamp)
         if version is None:
-            return self._live(self.version()).drop(VALID_FROM)
+            return self._live().drop(VALID_FROM)
         return as_of(self.history(), version).select(*[c for c in self._schema(version).fieldNames() if c != VALID_FROM])
 
-    def _open_rows(self, version: int) -> DataFrame:
-        return self._live(version).withColumn(VALID_TO, F.lit(None).cast("bigint"))
-
     def write(self, data: DataFrame, batch: str | None = None) -> int:
-        """Create the table, or upsert ``data`` into it. Returns the new version.
+        """Create the table, or upsert ``data`` into it. Returns the version that holds the data.
 
-        Only the live rows take part; rows closed earlier are neither read nor rewritten. Columns
-        that only ``data`` has are added, null in the rows that stay. A named ``batch`` that a
-        version was already made of changes nothing and returns that version.
+        Of the live rows only keys and hashes are compared; whole rows are read from the buckets
+        that change. Columns that only ``data`` has are added, null in the rows that stay. A named
+        ``batch`` that a version was already made of changes nothing and returns that version.
         """
+        self._finish()
         version = self.version()
         if batch is not None and version:
             seen = self.commits().where(F.col("batch") == batch).agg(F.min("version").alias("v")).first()["v"]
@@ -248,50 +254,85 @@ class HistoryTable:
                 return seen
         prepared = with_load_metadata(data, self.primary_key, self.partition_key)
         if version == 0:
-            return self._commit(initialise(prepared, 1), 1, batch=batch)
-        live = self._open_rows(version)
+            return self._commit(initialise(prepared, 1), 1, batch, whole=True)
+        changes = cut_lineage(self._changed(prepared), "changes")
+        touched = [r[0] for r in changes.select(self._bucket()).distinct().collect()]  # no more than there are buckets
+        if not touched:
+            if batch is None:
+                return version
+            return self._mark(version + 1, self._schema(version), batch)
+        live = _opened(self._live(touched))
         added = {f.name: F.lit(None).cast(f.dataType) for f in prepared.schema if f.name not in live.columns}
-        merged = upsert(live.withColumns(added), prepared, self.primary_key, version + 1)
-        return self._commit(merged, version + 1, batch=batch)
+        return self._commit(upsert(live.withColumns(added), changes, self.primary_key, version + 1), version + 1, batch)
+
+    def _changed(self, batch: DataFrame) -> DataFrame:
+        """Rows of a batch, one per key, that are new or differ from the live row."""
+        known = self._live().select(*[F.col(k).alias(f"_k_{k}") for k in self.primary_key], F.col(HASH_DIFF).alias("_known"))
+        same = [F.col(k) == F.col(f"_k_{k}") for k in self.primary_key]
+        rows = one_per_key(batch, self.primary_key).join(known, same, "left")
+        return rows.where(F.col("_known").isNull() | (F.col("_known") != F.col(HASH_DIFF))).select(*batch.columns)
 
     def overwrite(self, data: DataFrame) -> int:
         """Close every live row and start from ``data`` and its schema; old versions stay readable."""
+        self._finish()
         version = self.version() + 1
         fresh = initialise(with_load_metadata(data, self.primary_key, self.partition_key), version)
-        if version == 1:
-            return self._commit(fresh, version)
-        closed = self._live(version - 1).withColumn(VALID_TO, F.lit(version).cast("bigint"))
-        return self._store(fresh.drop(VALID_TO), closed, version)
+        if version > 1:
+            gone = self._live().withColumn(VALID_TO, F.lit(version).cast("bigint"))
+            return self._commit(fresh.unionByName(gone, allowMissingColumns=True), version, whole=True, columns=fresh.drop(VALID_TO).columns)
+        return self._commit(fresh, version, whole=True)
 
     def rollback(self, version: int | None = None, timestamp=None) -> int:
         if version is None and timestamp is None:
             raise ValueError("rollback needs a version or a timestamp")
+        self._finish()
         target = self.version(timestamp) if version is None else version
         new = self.version() + 1
-        return self._commit(rollback(self.history(), target, self.primary_key, new), new, self._schema(target).fieldNames())
+        return self._commit(rollback(self.history(), target, self.primary_key, new), new, whole=True, columns=self._schema(target).fieldNames())
 
     def changes(self, since: int = 1) -> DataFrame:
-        return change_feed(self.read(version=since), self.read(), self.primary_key)
-
-    def _commit(self, rows: DataFrame, version: int, columns: Sequence[str] | None = None, batch: str | None = None) -> int:
-        """Store the live rows of ``rows`` (their ``columns``) and those closed by this version."""
-        changed = F.col(VALID_TO).isNull() | (F.col(VALID_TO) == version)
-        # two outputs read the merge, so it runs once
-        rows = cut_lineage(rows.where(changed), "merge")
-        live = rows.where(F.col(VALID_TO).isNull()).drop(VALID_TO)
-        return self._store(live.select(*(columns or live.columns)), rows.where(F.col(VALID_TO) == version), version, batch)
-
-    def _store(self, live: DataFrame, closed: DataFrame, version: int, batch: str | None = None) -> int:
-        """Write both kinds of rows, then the marker that makes them a version."""
-        if self.partition_key:
-            writer = live.hint("rebalance", F.col(self.partition_key)).write.partitionBy(self.partition_key)
-        else:
-            writer = live.write
-        writer.mode("overwrite").parquet(f"{self.path}/current/v={version}")
-        write_parquet(closed, f"{self.path}/closed/v={version}", mode="overwrite")
+        """Net changes after version ``since``, from the rows that changed alone."""
+        history = self.history()
+        old = history.where((F.col(VALID_FROM) <= since) & (F.col(VALID_TO) > since)).drop(VALID_FROM, VALID_TO)
+        new = history.where((F.col(VALID_FROM) > since) & F.col(VALID_TO).isNull()).drop(VALID_FROM, VALID_TO)
+        return change_feed(old, new, self.primary_key)
+
+    def _commit(self, rows: DataFrame, version: int, batch: str | None = None, whole: bool = False, columns: Sequence[str] | None = None) -> int:
+        """Store aside the open rows of ``rows`` and those closed by this version, and let them take effect."""
+        rows = rows.where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) == version))
+        aside = rows.withColumns({BUCKET: self._bucket(), "_closed": F.col(VALID_TO).isNotNull().cast("int")})
+        order = [BUCKET, *([self.partition_key] if self.partition_key else [])]
+        aside.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("_closed").parquet(f"{self.path}/pending/rows")
+        live_schema = rows.select(*(columns or rows.drop(VALID_TO).columns)).schema.json()
+        facts = [F.lit(x).alias(n) for n, x in (("version", version), ("whole", whole), ("live_schema", live_schema), ("row_schema", aside.drop("_closed").schema.json()))]
+        write_parquet(self.spark.range(1).select(*facts, F.lit(batch).cast("string").alias("batch")), f"{self.path}/pending/ready", mode="overwrite")
+        self._finish()
+        return version
+
+    def _finish(self) -> None:
+        """Let a version that is stored aside take effect; each step can be repeated."""
+        if not self._exists(f"{self.path}/pending/ready"):
+            return
+        ready = self.spark.read.parquet(f"{self.path}/pending/ready").first()
+        fields = T.StructType([*T.StructType.fromJson(json.loads(ready["row_schema"])), T.StructField("_closed", T.IntegerType())])
+        rows = self.spark.read.schema(fields).parquet(f"{self.path}/pending/rows")
+        live_schema = T.StructType.fromJson(json.loads(ready["live_schema"]))
+        write_parquet(rows.where("_closed = 1").drop("_closed", BUCKET), f"{self.path}/closed/v={ready['version']}", mode="overwrite")
+        live = rows.where("_closed = 0").select(*live_schema.fieldNames(), BUCKET)
+        mode = "static" if ready["whole"] else "dynamic"
+        live.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(f"{self.path}/live")
+        self._mark(ready["version"], live_schema, ready["batch"])
+        files, pending = self._folder(f"{self.path}/pending")
+        files.delete(pending, True)
+
+    def _mark(self, version: int, live_schema: T.StructType, batch: str | None) -> int:
         marker = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at"),
-            F.lit(live.schema.json()).alias("live_schema"), F.lit(batch).cast("string").alias("batch"),
+            F.lit(live_schema.json()).alias("live_schema"), F.lit(batch).cast("string").alias("batch"),
         )
         write_parquet(marker, f"{self.path}/commits/v={version}", mode="overwrite")
         return version
+
+
+def _opened(live: DataFrame) -> DataFrame:
+    return live.withColumn(VALID_TO, F.lit(None).cast("bigint"))

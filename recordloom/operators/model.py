@@ -57,11 +57,13 @@ def jaro_winkler_at(column: str, thresholds: Sequence[float] = (0.9, 0.7), term_
 
 @dataclass(frozen=True)
 class MatchModel:
-    """``parameters[column][level] = (m, u)``; either may be missing when it was never trained."""
+    """``parameters[column][level] = (m, u)``; either may be missing when it was never trained.
+    ``sessions`` names the training rules with the rounds they took and whether they settled."""
 
     comparisons: tuple[Comparison, ...]
     prior: float
     parameters: Mapping[str, Mapping[int, tuple[float | None, float | None]]]
+    sessions: tuple[tuple[str, int, bool], ...] = ()
 
     def log_factor(self, comparison: Comparison, level: int) -> float:
         """log2(m/u); an untrained level says nothing."""
@@ -86,6 +88,7 @@ class MatchModel:
         return json.dumps(
             {
                 "prior": self.prior,
+                "sessions": [list(s) for s in self.sessions],
                 "comparisons": [
                     {
                         "column": c.column,
@@ -106,7 +109,7 @@ class MatchModel:
             Comparison(c["column"], tuple(c["thresholds"]), c["term_frequency"]) for c in data["comparisons"]
         )
         parameters = {c["column"]: {int(g): tuple(mu) for g, mu in c["levels"].items()} for c in data["comparisons"]}
-        return cls(comparisons, data["prior"], parameters)
+        return cls(comparisons, data["prior"], parameters, tuple(tuple(s) for s in data.get("sessions", [])))
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [

@@ -38,7 +38,8 @@ def run_available(stream: DataFrame, each_batch, checkpoint: str) -> None:
 
 
 def ingest_bronze(
-    spark: SparkSession, path: str, spec: SourceSpec, layout: Layout, checkpoint: str, archive: str | None = None
+    spark: SparkSession, path: str, spec: SourceSpec, layout: Layout, checkpoint: str, archive: str | None = None,
+    files_per_batch: int = 1000,
 ) -> None:
     """Validate and upsert new raw files, each batch once.
 
@@ -50,7 +51,7 @@ def ingest_bronze(
     def load(batch: DataFrame, number: int) -> None:
         load_validated(batch.sparkSession, validate(batch, spec).stored(), layout, f"{stream}-{number}")
 
-    run_available(raw_stream(spark, path, "csv", spec.raw_schema, archive), load, checkpoint)
+    run_available(raw_stream(spark, path, "csv", spec.raw_schema, archive, files_per_batch), load, checkpoint)
 
 
 class RunningSample:

@@ -191,6 +191,50 @@ def u_estimate(spark, sf_dir):
     return training.level_shares(model.comparison_vectors(pairs, corpus.COMPARISONS), corpus.COMPARISONS).withColumn("u", F.round("u", 12))
 
 
+_STEP_RULE = corpus.TRAINING[0]
+_STEP_FREE = [c for c in corpus.COMPARISONS if c.column not in _STEP_RULE.columns()]
+_STEP_PRIOR = 0.1
+
+
+def _step_u(c):
+    return {g: u for g, (_, u) in corpus.MODEL.parameters[c.column].items()}
+
+
+def _em_step_sql() -> str:
+    start = training.start_values(_STEP_FREE)
+
+    def chance(values_of) -> str:
+        cases = []
+        for c in _STEP_FREE:
+            ladder = " ".join(f"WHEN {g} THEN {max(v, model.PROBABILITY_FLOOR)!r}::DOUBLE" for g, v in values_of(c).items())
+            cases.append(f"(CASE {c.gamma} {ladder} ELSE 1.0::DOUBLE END)")
+        return " * ".join(cases)
+
+    levels = " UNION ALL ".join(f"SELECT '{c.column}' AS comparison, {g} AS level" for c in _STEP_FREE for g in c.levels)
+    cells = " UNION ALL ".join(f"SELECT '{c.column}' AS comparison, {c.gamma} AS level, w, n FROM weighed WHERE {c.gamma} >= 0" for c in _STEP_FREE)
+    gammas = ", ".join(c.gamma for c in _STEP_FREE)
+    return f"""WITH {corpus.vectors_sql([_STEP_RULE])},
+    pat AS (SELECT {gammas}, sum(n_pairs)::BIGINT AS n FROM vec GROUP BY ALL),
+    ch AS (SELECT *, {_STEP_PRIOR}::DOUBLE * {chance(lambda c: start[c.column])} AS a, {1 - _STEP_PRIOR}::DOUBLE * {chance(_step_u)} AS b FROM pat),
+    weighed AS (SELECT *, a / (a + b) * n AS w FROM ch),
+    total AS (SELECT sum(w) / sum(n) AS prior, sum(n * ln(a + b)) AS log_likelihood FROM weighed),
+    cells AS ({cells}),
+    sums AS (SELECT comparison, level, sum(w) AS w, sum(n)::BIGINT AS n FROM cells GROUP BY 1, 2)
+    SELECT l.comparison, l.level, round(coalesce(w, 0) / (SELECT sum(w) FROM sums s WHERE s.comparison = l.comparison), 9) AS m, coalesce(n, 0)::BIGINT AS n,
+        round(prior, 9) AS prior, round(log_likelihood, 3) AS log_likelihood
+    FROM ({levels}) l LEFT JOIN sums USING (comparison, level), total"""
+
+
+@query("em_step", _em_step_sql())
+def em_step(spark, sf_dir):
+    """One round of training over the pairs of the first training rule."""
+    pairs = blocking.all_pairs(corpus.stored_profiles(spark, sf_dir), [_STEP_RULE])
+    patterns = cut_lineage(training.pattern_counts(pairs, _STEP_FREE), "patterns")
+    u = {c.column: _step_u(c) for c in _STEP_FREE}
+    found = training.em_step(patterns, _STEP_FREE, training.start_values(_STEP_FREE), u, _STEP_PRIOR)
+    return found.withColumns({"m": F.round("m", 9), "prior": F.round("prior", 9), "log_likelihood": F.round("log_likelihood", 3)})
+
+
 @query("em_train")
 def em_train(spark, sf_dir):
     """A whole training run; the result is the parameter table."""

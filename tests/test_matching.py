@@ -196,10 +196,28 @@ def test_em_recovers_planted_parameters():
             p_m *= truth_m[c][g]
             p_u *= u[c][g]
         patterns.append((levels, round(1e6 * (0.3 * p_m + 0.7 * p_u))))
-    m, prior, trace = training.expectation_maximisation(patterns, comparisons, u, iterations=200, tolerance=1e-7)
-    assert abs(prior - 0.3) < 0.01
-    assert all(abs(m[c][g] - truth_m[c][g]) < 0.02 for c in "abc" for g in (0, 1))
-    assert all(b >= a - 1e-6 * abs(a) for a, b in zip(trace, trace[1:]))
+    found = training.expectation_maximisation(patterns, comparisons, u, iterations=200, tolerance=1e-7)
+    assert found.converged and len(found.likelihoods) < 200 and abs(found.prior - 0.3) < 0.01
+    assert all(abs(found.m[c][g] - truth_m[c][g]) < 0.02 for c in "abc" for g in (0, 1))
+    assert all(b >= a - 1e-6 * abs(a) for a, b in zip(found.likelihoods, found.likelihoods[1:]))
+    assert not training.expectation_maximisation(patterns, comparisons, u, iterations=3).converged
+    assert training.expectation_maximisation([], comparisons, u).m == {}
+
+
+def test_a_step_in_spark_equals_a_round_on_collected_counts(spark):
+    comparisons = [exact_match("a"), jaro_winkler_at("b")]
+    u = {"a": {0: 0.9, 1: 0.1}, "b": {0: 0.7, 1: 0.1, 2: 0.1, 3: 0.1}}
+    patterns = [((0, 0), 50), ((1, 3), 20), ((-1, 1), 5), ((1, -1), 7), ((0, 3), 2)]
+    frame = spark.createDataFrame([(*p, n) for p, n in patterns], "gamma_a int, gamma_b int, n bigint")
+    start = training.start_values(comparisons)
+    got = training.em_step(frame, comparisons, start, u, 0.1).collect()
+    one = training.expectation_maximisation(patterns, comparisons, u, 0.1, iterations=1)
+    assert all(abs(r.prior - one.prior) < 1e-12 and abs(r.log_likelihood - one.likelihoods[0]) < 1e-9 for r in got)
+    assert {(r.comparison, r.level) for r in got} == {(c.column, g) for c in comparisons for g in c.levels}
+    for r in got:
+        assert (r.n == 0) == (r.level not in one.m[r.comparison])
+        assert r.m == pytest.approx(one.m[r.comparison].get(r.level, 0.0), abs=1e-12)
+    assert all(r.m is None for r in training.em_step(frame.where("false"), comparisons, start, u, 0.1).collect())
 
 
 def test_sessions_are_combined_by_median():
@@ -221,6 +239,8 @@ def test_training_runs_end_to_end(spark):
     trained = training.train(records, profiles, COMPARISONS, [block_on("eid", "name")], [block_on("name"), block_on("eid")])
     assert 0 < trained.prior < 1
     assert set(trained.parameters) == set(COLUMNS)
+    assert [x[0] for x in trained.sessions] == ["name", "eid"] and all(0 < rounds < 25 or not settled for _, rounds, settled in trained.sessions)
+    assert MatchModel.from_json(trained.to_json()).sessions == trained.sessions
 
 
 @pytest.mark.parametrize("name", ["u_estimate", "em_train", "end_to_end"])
