@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordloom.functions.text import empty_to_null
 from recordloom.operators.dedup import dedup_integrated
-from recordloom.operators.survivorship import Integrated, SURVIVING_FIELDS, nest_children
+from recordloom.operators.skew import heavy_keys, split_join
+from recordloom.operators.survivorship import Integrated, SURVIVING_FIELDS, Shaped, ordered
 from recordloom.settings import CLUSTER_ID, DATA_SOURCE
 
 # The key of a gold record.
@@ -20,6 +21,7 @@ class Gold:
     anchors: DataFrame
     bridge: DataFrame
     records: DataFrame
+    licenses: DataFrame
 
 
 def dedup_clusters(result: Integrated) -> Integrated:
@@ -43,7 +45,7 @@ def anchors_table(records: DataFrame) -> DataFrame:
         F.col("anchor_entity.vendor_id").alias("vendor_id"),
         F.col(CLUSTER_ID).alias("splink_id"),
         "has_id_conflict",
-        *[f for f in SURVIVING_FIELDS if f in records.columns],
+        *[f for f in (*SURVIVING_FIELDS, "n_licenses") if f in records.columns],
         "global_score",
     )
 
@@ -67,27 +69,20 @@ def id_bridge(records: DataFrame, alternates: DataFrame) -> DataFrame:
     return own.unionByName(others)
 
 
-def bridge_from_nested(nested: DataFrame) -> DataFrame:
-    """The same bridge from records that carry ``alt_entities`` as an array."""
-    anchor = [
-        F.col("anchor_entity.entity_id").alias("anchor_entity_id"),
-        F.col("anchor_entity.data_source").alias("anchor_data_source"),
-    ]
-    own = nested.select(*anchor, F.lit("").alias("alt_entity_id"), F.lit("").alias("alt_data_source"), F.lit(True).alias("is_anchor"))
-    others = nested.select(*anchor, F.explode("alt_entities").alias("alt")).select(
-        "anchor_entity_id", "anchor_data_source", F.col("alt.entity_id").alias("alt_entity_id"),
-        F.col("alt.data_source").alias("alt_data_source"), F.lit(False).alias("is_anchor"),
-    )
-    return own.unionByName(others)
+def bridge_of_shape(shaped: Shaped) -> DataFrame:
+    """The same bridge from the published shape."""
+    alternates = shaped.alt_entities.withColumnRenamed("splink_id", CLUSTER_ID)
+    return id_bridge(shaped.records.withColumnRenamed("splink_id", CLUSTER_ID), alternates)
 
 
 def gold_records(bridge: DataFrame, anchors: DataFrame) -> DataFrame:
     """Bridge rows with the surviving values of their anchor, matched on id and source.
 
-    Rows without a company name are not published; an empty source id becomes null.
+    Rows without a company name are not published; an empty source id becomes null. ``n_licenses``
+    counts the anchor's rows of :func:`gold_licenses`.
     """
     joined = bridge.join(anchors, ["anchor_entity_id", "anchor_data_source"])
-    carried = [c for c in ("vendor_id", *SURVIVING_FIELDS, "licenses") if c in anchors.columns]
+    carried = [c for c in ("vendor_id", *SURVIVING_FIELDS, "n_licenses") if c in anchors.columns]
     return joined.where(F.col("company_name").isNotNull()).select(
         "anchor_entity_id", "anchor_data_source",
         empty_to_null(F.col("alt_entity_id")).alias("source_entity_id"),
@@ -96,24 +91,24 @@ def gold_records(bridge: DataFrame, anchors: DataFrame) -> DataFrame:
     )
 
 
-def publish(result: Integrated) -> Gold:
-    """The gold trio of deduplicated integrated records."""
-    kept = dedup_clusters(result)
-    anchors = anchors_table(kept.records)
-    bridge = id_bridge(kept.records, kept.alternates)
-    return Gold(anchors, bridge, gold_records(bridge, anchors))
-
-
-def with_licenses(gold: DataFrame, result: Integrated, rows: int | None = None) -> DataFrame:
-    """Gold records with the cluster's licenses as an array (several rows for a very long list)."""
-    options = {} if rows is None else {"rows": rows}
-    lists = nest_children(result.licenses, ["license_id", "expiration_date"], F.col("rank"), "licenses", **options)
-    owner = result.records.select(
+def gold_licenses(result: Integrated) -> DataFrame:
+    """Licenses of each published anchor, a row each, in order."""
+    owner = result.records.where(F.col("company_name").isNotNull()).select(
         CLUSTER_ID,
         F.col("anchor_entity.entity_id").alias("anchor_entity_id"),
         F.col("anchor_entity.data_source").alias("anchor_data_source"),
     )
-    keyed = owner.join(lists, CLUSTER_ID).drop(CLUSTER_ID)
-    return gold.join(keyed, ["anchor_entity_id", "anchor_data_source"], "left").withColumn(
-        "part", F.coalesce("part", F.lit(0))
-    )
+    sizes = result.licenses.groupBy(CLUSTER_ID).agg(F.count(F.lit(1)).alias("n"))
+    rows = split_join(result.licenses, owner, CLUSTER_ID, heavy_keys(sizes, CLUSTER_ID, "n"), ["license_id"])
+    placed = ordered(rows, F.struct("rank", "license_id"), "gold-licenses")
+    return placed.select("anchor_entity_id", "anchor_data_source", "ordinal", "license_id", "expiration_date")
+
+
+def publish(result: Integrated) -> Gold:
+    """Gold tables of deduplicated integrated records."""
+    kept = dedup_clusters(result)
+    counts = kept.licenses.groupBy(CLUSTER_ID).agg(F.count(F.lit(1)).alias("n_licenses"))
+    counted = kept.records.join(counts, CLUSTER_ID, "left").withColumn("n_licenses", F.coalesce("n_licenses", F.lit(0)))
+    anchors = anchors_table(counted)
+    bridge = id_bridge(kept.records, kept.alternates)
+    return Gold(anchors, bridge, gold_records(bridge, anchors), gold_licenses(kept))

@@ -2,8 +2,8 @@
 
 Clusters may be of any size, so nothing here packs a cluster into one value. Every step is
 an aggregate with map-side combining, or a join of member rows with one row per cluster.
-Results are three flat tables: surviving records, alternates and licenses; ``nest`` builds
-the nested shape from them.
+Results are three flat tables: surviving records, alternates and licenses; ``shape`` keys the
+last two by cluster and ordinal.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from recordloom.functions.text import canonical, strip
 from recordloom.operators.skew import heavy_keys, split_join
 from recordloom.session import cut_lineage
 from recordloom.settings import CLUSTER_ID, COMPOSITE_ID, DATA_SOURCE, HASH_DIFF, LOAD_TS, ORPHAN_PREFIX
-from recordloom.specs import DATE
 
 # Bookkeeping columns that carry no evidence, anchor sources and the fields
 # that survive one by one.
@@ -35,7 +34,6 @@ OPTIONAL_FIELDS = (
 )
 ALWAYS_POPULATED = 7  # anchor, alternates, splink id, conflict flag, name, active flag, licenses
 NO_SOURCE, NO_KEY, NO_NAME = "no_anchor_source", "no_anchor_key", "no_company_name"
-NEST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -262,55 +260,62 @@ ENTITY_TYPE = T.StructType(
         T.StructField("vendor_id", T.StringType()),
     ]
 )
-LICENSES_TYPE = T.ArrayType(T.StructType([T.StructField("license_id", T.StringType()), T.StructField("expiration_date", DATE)]))
 
+def ordered(children: DataFrame, rank: Column, tag: str = "ordered") -> DataFrame:
+    """``children`` with ``ordinal``, their place in their cluster by ``rank``, from 0.
 
-def nest_children(
-    children: DataFrame, fields: Sequence[str], rank: Column, name: str, rows: int = NEST_ROWS,
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
-    """``(cluster_id, part, name)``: child rows as ordered arrays of at most about ``rows`` elements.
-
-    Almost every cluster has the single part 0. A cluster with more children gets several
-    parts, split by a hash, so no row grows without bound and no child is dropped.
+    All rows are sorted by ranges of cluster and rank and numbered through; a row's ordinal is its
+    number less the first of its cluster. So a cluster of any size spreads over many ranges, and
+    no task sorts or holds one. The rank must be a total order inside a cluster.
     """
-    sizes = children.groupBy(CLUSTER_ID).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("_parts"))
-    part = F.pmod(F.xxhash64(*(spread or fields)), F.col("_parts")).cast("int")
-    # grouped by one struct column, so that the parts of a large cluster go to different tasks
-    grouped = (
-        children.join(sizes, CLUSTER_ID).withColumn("key", F.struct(F.col(CLUSTER_ID), part.alias("part")))
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct(rank.alias("_rank"), *fields))).alias("_items"))
-        .select("key.*", "_items")
-    )
-    items = F.transform("_items", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
-    return grouped.select(CLUSTER_ID, "part", items.alias(name))
+    key = F.struct(F.col(CLUSTER_ID).alias("c"), rank.alias("r"))
+    placed = children.withColumn("_key", key).repartitionByRange("_key").sortWithinPartitions("_key").drop("_key")
+    # stored, so that a row keeps the number it was given: the range in the high bits, the place in it in the low ones
+    placed = cut_lineage(placed.withColumn("_at", F.monotonically_increasing_id()), tag).withColumn("_part", F.shiftright("_at", 33))
+    counts = sorted(tuple(r) for r in placed.groupBy("_part").agg(F.count(F.lit(1))).collect())  # a row per range
+    starts, total = [], 0
+    for part, n in counts:
+        starts.append((part, total))
+        total += n
+    first = children.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    numbered = placed.join(F.broadcast(first), "_part").withColumn("_no", F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    numbered = numbered.drop("_part", "_start", "_at")
+    heads = numbered.groupBy(CLUSTER_ID).agg(F.min("_no").alias("_head"), F.count(F.lit(1)).alias("_n"))
+    joined = split_join(numbered, heads.drop("_n"), CLUSTER_ID, heavy_keys(heads, CLUSTER_ID, "_n"), ["_no"])
+    return joined.withColumn("ordinal", F.col("_no") - F.col("_head")).drop("_no", "_head")
+
+
+def cluster_lists(members: DataFrame) -> DataFrame:
+    """Member rows with ``ordinal``, their place in their cluster by composite id."""
+    return ordered(members, F.col(COMPOSITE_ID), "cluster-lists")
 
 
-def cluster_lists(members: DataFrame, rows: int = NEST_ROWS) -> DataFrame:
-    """Whole member rows per cluster as arrays of structs, ordered by composite id, in bounded parts."""
-    fields = [COMPOSITE_ID, *[c for c in members.columns if c not in (CLUSTER_ID, COMPOSITE_ID)]]
-    return nest_children(members, fields, F.col(COMPOSITE_ID), "records", rows, spread=[COMPOSITE_ID])
+@dataclass(frozen=True)
+class Shaped:
+    """Integrated records as published: one row per cluster, and its children in tables keyed by
+    ``splink_id, ordinal``. A cluster without children of a kind has no rows there."""
 
+    records: DataFrame
+    alt_entities: DataFrame
+    licenses: DataFrame
 
-def nest(result: Integrated, rows: int = NEST_ROWS) -> DataFrame:
-    """Integrated records in nested shape; empty alternates and licenses are null.
 
-    A cluster with more than ``rows`` alternates or licenses spans several rows, numbered by
-    ``part``; the surviving values are the same in each.
-    """
+def shape(result: Integrated) -> Shaped:
+    """The published shape, the same for clusters of every size."""
     entity = [f.name for f in ENTITY_TYPE]
     alt_rank = F.struct((-F.col("global_score")).alias("s"), F.col(COMPOSITE_ID).alias("k"))
-    alternates = nest_children(result.alternates, entity, alt_rank, "alt_entities", rows)
-    licenses = nest_children(result.licenses, ["license_id", "expiration_date"], F.col("rank"), "licenses", rows)
-    children = alternates.join(licenses, [CLUSTER_ID, "part"], "full_outer")
-    return result.records.join(children, CLUSTER_ID, "left").select(
-        F.col(CLUSTER_ID).alias("splink_id"),
-        F.coalesce("part", F.lit(0)).alias("part"),
-        "has_id_conflict", "anchor_entity", "alt_entities",
+    alternates = ordered(result.alternates, alt_rank, "alt-entities")
+    licenses = ordered(result.licenses, F.struct("rank", "license_id"), "licenses")
+    counts = result.licenses.groupBy(CLUSTER_ID).agg(F.count(F.lit(1)).alias("n_licenses"))
+    records = result.records.join(counts, CLUSTER_ID, "left").select(
+        F.col(CLUSTER_ID).alias("splink_id"), "has_id_conflict", "anchor_entity", "n_alternates",
         *[f for f in SURVIVING_FIELDS if f in result.records.columns],
-        F.col("licenses").cast(LICENSES_TYPE).alias("licenses"),
-        "global_score",
+        F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"), "global_score",
+    )
+    return Shaped(
+        records,
+        alternates.select(F.col(CLUSTER_ID).alias("splink_id"), "ordinal", *entity),
+        licenses.select(F.col(CLUSTER_ID).alias("splink_id"), "ordinal", "license_id", "expiration_date"),
     )
 
 

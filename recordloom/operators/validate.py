@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql import types as T
 
 from recordloom.session import cut_lineage
 from recordloom.specs import SourceSpec
 
 REASONS = "reject_reasons"
+METRICS = ("total", "success", "failure")
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType, safe: bool = False) -> DataFrame:
@@ -38,12 +41,15 @@ class Validated:
 
     tagged: DataFrame
     spec: SourceSpec
+    counts: Mapping[str, int] | None = None
 
     def stored(self) -> "Validated":
         """The same over a written table. Both outputs and the metrics read it, so every row is
         cleaned once; without it each of them would clean the rows again, and a filter on the
-        reasons would even do so twice."""
-        return Validated(cut_lineage(self.tagged, f"validated-{self.spec.name}"), self.spec)
+        reasons would even do so twice. The metrics are observed while the rows are written."""
+        seen = Observation(f"load-{self.spec.name}-{uuid.uuid4().hex}")
+        stored = cut_lineage(self.tagged.observe(seen, *_counts(F.size(REASONS) == 0)), f"validated-{self.spec.name}")
+        return Validated(stored, self.spec, {name: seen.get.get(name, 0) for name in METRICS})
 
     @property
     def valid(self) -> DataFrame:
@@ -55,6 +61,10 @@ class Validated:
         return self.tagged.where(F.size(REASONS) > 0).select("raw.*", REASONS)
 
     def metrics(self) -> DataFrame:
+        """One row of counts; those of stored rows need no pass of their own."""
+        if self.counts is not None:
+            facts = [F.lit(self.counts[name]).cast("bigint").alias(name) for name in METRICS]
+            return self.tagged.sparkSession.range(1).select(*facts)
         return load_metrics(self.tagged, F.size(REASONS) == 0)
 
 
@@ -82,10 +92,10 @@ def validate(raw: DataFrame, spec: SourceSpec) -> Validated:
     return Validated(shaped, spec)
 
 
+def _counts(is_valid: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total"), F.count_if(is_valid).alias("success"), F.count_if(~is_valid).alias("failure")]
+
+
 def load_metrics(df: DataFrame, is_valid: Column) -> DataFrame:
     """Total, success and failure counts in one pass."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(is_valid).alias("success"),
-        F.count_if(~is_valid).alias("failure"),
-    )
+    return df.agg(*_counts(is_valid))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ from recordloom.operators.dedup import dedup_ranked
 from recordloom.operators.history import HistoryTable
 from recordloom.operators.model import MatchModel, load_model, save_model, with_term_frequencies
 from recordloom.operators.resolution import cluster, links, predict
-from recordloom.operators.runs import run_record, time_ordered_id
+from recordloom.operators.runs import latest_runs, run_record, time_ordered_id
 from recordloom.operators.sampling import weighted_sample
 from recordloom.operators.survivorship import Integrated, integrate, link_records
 from recordloom.operators.training import train
@@ -29,6 +30,8 @@ from recordloom.sources.readers import read_any, read_parquet
 from recordloom.sources.writers import overwrite_table, quarantine_clusters, quarantine_rows, write_json, write_parquet
 from recordloom.specs import SourceSpec, spec_for_path
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -48,8 +51,8 @@ class Layout:
     def run(self, run_id: str) -> str:
         return f"{self.root}/entity_resolution/{run_id}"
 
-    def integrated(self, part: str) -> str:
-        return f"{self.root}/integrated/{part}"
+    def integrated(self, run_id: str, part: str) -> str:
+        return f"{self.run(run_id)}/integrated/{part}"
 
     def mart(self, part: str) -> str:
         return f"{self.root}/data_mart/{part}"
@@ -71,7 +74,7 @@ def bronze_to_silver(spark: SparkSession, path: str, specs: Sequence[SourceSpec]
 def load_validated(spark: SparkSession, checked, layout: Layout, batch: str | None = None) -> dict:
     """Quarantine the rejected rows and upsert the valid ones. A named batch that is loaded again changes neither."""
     spec = checked.spec
-    counts = checked.metrics().first().asDict()
+    counts = checked.counts or checked.metrics().first().asDict()
     if counts["failure"]:
         quarantine_rows(checked.rejected, layout.errors(spec.name), batch or uuid.uuid4().hex)
     version = silver_table(spark, layout, spec).write(checked.valid, batch)
@@ -152,33 +155,45 @@ def member_rows(frames: Mapping[str, tuple[DataFrame, str]], link_rows: DataFram
     return link_records(union_by_name(tagged), link_rows)
 
 
-def create_integrated(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layout, run_id: str) -> Integrated:
-    """Merge the clusters of a run and store the result, quarantining clusters without an anchor."""
+def newest_run(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layout) -> str:
+    """The newest run over just these sources."""
+    records = spark.read.json(f"{layout.root}/entity_resolution/*/metadata").select("run_id", "table_names", F.col("timestamp").cast("timestamp"))
+    found = latest_runs(records).where(F.col("table_group") == ",".join(sorted(s.name for s in specs))).select("run_id").first()
+    if found is None:
+        raise ValueError(f"no run over {[s.name for s in specs]} below {layout.root}")
+    return found["run_id"]
+
+
+def create_integrated(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layout, run_id: str | None = None) -> Integrated:
+    """Merge the clusters of a run, the newest by default, and store the result under it,
+    quarantining clusters without an anchor. A run merged again replaces its own result."""
+    run_id = run_id or newest_run(spark, specs, layout)
     frames = {s.name: (spark.read.parquet(layout.deduplicated(s.name)), s.primary_key[0]) for s in specs}
     members = cut_lineage(member_rows(frames, spark.read.parquet(f"{layout.run(run_id)}/links.parquet")), "members")
     result = integrate(members)
     for part in ("records", "alternates", "licenses"):
-        overwrite_table(getattr(result, part), layout.integrated(part))
-    quarantine_clusters(result.rejected, layout.integrated("rejected"))
-    return read_integrated(spark, layout)
+        overwrite_table(getattr(result, part), layout.integrated(run_id, part))
+    quarantine_clusters(result.rejected, layout.integrated(run_id, "rejected"))
+    return read_integrated(spark, layout, run_id)
 
 
-def read_integrated(spark: SparkSession, layout: Layout) -> Integrated:
-    return Integrated(*[spark.read.parquet(layout.integrated(p)) for p in ("records", "alternates", "licenses", "rejected")])
+def read_integrated(spark: SparkSession, layout: Layout, run_id: str) -> Integrated:
+    return Integrated(*[spark.read.parquet(layout.integrated(run_id, p)) for p in ("records", "alternates", "licenses", "rejected")])
 
 
-def create_gold(spark: SparkSession, layout: Layout) -> publishing.Gold:
-    """Deduplicate integrated records and publish anchors, bridge and gold records."""
-    kept = publishing.dedup_clusters(read_integrated(spark, layout))
-    anchors, bridge = publishing.anchors_table(kept.records), publishing.id_bridge(kept.records, kept.alternates)
-    overwrite_table(anchors, layout.mart("anchors"))
-    overwrite_table(bridge, layout.mart("id_bridge"))
-    stored = publishing.Gold(
-        spark.read.parquet(layout.mart("anchors")), spark.read.parquet(layout.mart("id_bridge")), bridge
-    )
-    gold = publishing.with_licenses(publishing.gold_records(stored.bridge, stored.anchors), kept)
+def create_gold(spark: SparkSession, specs: Sequence[SourceSpec], layout: Layout, run_id: str | None = None) -> publishing.Gold:
+    """Deduplicate the integrated records of a run, the newest by default, and publish anchors,
+    bridge, gold records and their licenses."""
+    made = publishing.publish(read_integrated(spark, layout, run_id or newest_run(spark, specs, layout)))
+    parts = {"anchors": made.anchors, "id_bridge": made.bridge}
+    for part, df in parts.items():
+        overwrite_table(df, layout.mart(part))
+    anchors, bridge = (spark.read.parquet(layout.mart(part)) for part in parts)
+    gold = publishing.gold_records(bridge, anchors)
     overwrite_table(gold, layout.mart("gold_records"), "city")
-    return publishing.Gold(stored.anchors, stored.bridge, read_parquet(spark, layout.mart("gold_records"), gold.schema))
+    overwrite_table(made.licenses, layout.mart("gold_licenses"))
+    records = read_parquet(spark, layout.mart("gold_records"), gold.schema)
+    return publishing.Gold(anchors, bridge, records, spark.read.parquet(layout.mart("gold_licenses")))
 
 
 def run_all(
@@ -191,8 +206,8 @@ def run_all(
     for spec in specs:
         outcome = audits.verdict(audit_silver(spark, spec, layout)).first()
         if not outcome["passed"]:
-            print(f"audit of {spec.name}: {outcome['outcome']}")
+            log.warning("audit of %s: %s", spec.name, outcome["outcome"])
         dedup_silver(spark, spec, layout)
     run_id = run_resolution(spark, specs, layout, settings)
     create_integrated(spark, specs, layout, run_id)
-    return create_gold(spark, layout)
+    return create_gold(spark, specs, layout, run_id)

@@ -45,6 +45,6 @@ def quarantine_clusters(rejected: DataFrame, path: str) -> None:
     """Member rows of clusters that cannot be merged, one row per member.
 
     The rows stay flat and are stored sorted by cluster: a cluster may be of any size, so
-    it is never packed into one value.
+    it is never packed into one value. The folder is that of a run, which replaces its own rows.
     """
-    write_parquet(rejected.sortWithinPartitions(CLUSTER_ID), path, mode="append")
+    write_parquet(rejected.sortWithinPartitions(CLUSTER_ID), path, mode="overwrite")

@@ -295,7 +295,7 @@ def quarantine(spark, sf_dir):
     """,
 )
 def load_metrics(spark, sf_dir):
-    return validate.validate(_raw_orders(spark, sf_dir), ORDER_SPEC).metrics()
+    return validate.validate(_raw_orders(spark, sf_dir), ORDER_SPEC).stored().metrics()
 
 
 @query(

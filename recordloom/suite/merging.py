@@ -136,13 +136,11 @@ def linked_members(spark, sf_dir):
 
 @query(
     "cluster_lists",
-    f"""WITH {members_sql()} SELECT cluster_id, 0 AS part, string_agg(composite_id, ' ' ORDER BY composite_id) AS ids, count(*)::INTEGER AS n FROM mem GROUP BY 1""",
+    f"""WITH {members_sql()} SELECT cluster_id, row_number() OVER (PARTITION BY cluster_id ORDER BY composite_id) - 1 AS ordinal, composite_id, data_source, city FROM mem""",
 )
 def cluster_lists(spark, sf_dir):
-    """Member rows assembled per cluster; the lists are shown by their ids."""
-    lists = survivorship.cluster_lists(members(spark, sf_dir))
-    ids = F.array_join(F.transform("records", lambda r: r["composite_id"]), " ")
-    return lists.select("cluster_id", "part", ids.alias("ids"), F.size("records").alias("n"))
+    """Member rows in their place in their cluster."""
+    return survivorship.cluster_lists(members(spark, sf_dir)).select("cluster_id", "ordinal", "composite_id", "data_source", "city")
 
 
 @query(
@@ -251,28 +249,42 @@ def merge_metrics(spark, sf_dir):
 @query(
     "nested_records",
     f"""WITH {integrated_sql()}
-    SELECT cluster_id AS splink_id, 0 AS part, anchor_id, has_id_conflict,
-        (SELECT string_agg(alt.entity_id || '/' || alt.data_source, ' ' ORDER BY rk) FROM alt WHERE alt.cluster_id = integ.cluster_id) AS alt_entities,
-        (SELECT string_agg(lics.license_id || '@' || lics.expiration_date, ' ' ORDER BY rk) FROM lics WHERE lics.cluster_id = integ.cluster_id) AS licenses,
-        global_score FROM integ""",
+    SELECT cluster_id AS splink_id, anchor_id, has_id_conflict, n_alternates,
+        (SELECT count(*) FROM lics WHERE lics.cluster_id = integ.cluster_id) AS n_licenses, {_SURVIVING}, global_score FROM integ""",
 )
 def nested_records(spark, sf_dir):
-    """The nested shape; arrays are shown as text."""
-    nested = survivorship.nest(survivorship.integrate(members(spark, sf_dir)))
-    alts = F.transform("alt_entities", lambda a: F.concat_ws("/", a["entity_id"], a["data_source"]))
-    licenses = F.transform(
-        "licenses",
-        lambda x: F.concat(
-            x["license_id"], F.lit("@"),
-            F.concat_ws("-", *[x["expiration_date"][p].cast("string") for p in ("year", "month", "day")]),
-        ),
-    )
-    return nested.select(
-        "splink_id", "part", F.col("anchor_entity.entity_id").alias("anchor_id"), "has_id_conflict",
-        F.array_join(alts, " ").alias("alt_entities"), F.array_join(licenses, " ").alias("licenses"), "global_score",
+    """The published records; their children are in tables of their own."""
+    shaped = survivorship.shape(survivorship.integrate(members(spark, sf_dir)))
+    return shaped.records.select(
+        "splink_id", F.col("anchor_entity.entity_id").alias("anchor_id"), "has_id_conflict", "n_alternates", "n_licenses",
+        *survivorship.SURVIVING_FIELDS, "global_score",
     )
 
 
+@query(
+    "alt_entities",
+    f"""WITH {ranked_sql()} SELECT cluster_id AS splink_id, row_number() OVER (PARTITION BY cluster_id ORDER BY rk) - 1 AS ordinal, entity_id, data_source,
+        {_R9.format('depth_score')}, {_R9.format('consensus_score')}, {_R9.format('global_score')}, {_R9.format('agreement_score')}, vendor_id FROM alt""",
+)
+def alt_entities(spark, sf_dir):
+    found = survivorship.shape(survivorship.integrate(members(spark, sf_dir))).alt_entities
+    scores = ("depth_score", "consensus_score", "global_score", "agreement_score")
+    return found.select("splink_id", "ordinal", "entity_id", "data_source", *_rounded(*scores), "vendor_id")
+
+
+def _date_text():
+    return F.concat_ws("-", *[F.col(f"expiration_date.{p}").cast("string") for p in ("year", "month", "day")]).alias("expiration_date")
+
+
+@query(
+    "record_licenses",
+    f"""WITH {ranked_sql()} SELECT cluster_id AS splink_id, row_number() OVER (PARTITION BY cluster_id ORDER BY rk) - 1 AS ordinal, license_id, expiration_date FROM lics""",
+)
+def record_licenses(spark, sf_dir):
+    found = survivorship.shape(survivorship.integrate(members(spark, sf_dir))).licenses
+    return found.select("splink_id", "ordinal", "license_id", _date_text())
+
+
 @query(
     "dedup_integrated",
     f"WITH {kept_sql()} SELECT cluster_id, anchor_id, anchor_source, is_active, global_score FROM kept",
@@ -306,19 +318,30 @@ def id_bridge(spark, sf_dir):
 @query("id_bridge_from_nested", f"WITH {kept_sql()} SELECT * FROM bridge")
 def id_bridge_from_nested(spark, sf_dir):
     kept = gold.dedup_clusters(survivorship.integrate(members(spark, sf_dir)))
-    return gold.bridge_from_nested(survivorship.nest(kept))
+    return gold.bridge_of_shape(survivorship.shape(kept))
 
 
 @query(
     "gold_records",
     f"""WITH {kept_sql()} SELECT anchor_entity_id, anchor_data_source, nullif(alt_entity_id, '') AS source_entity_id,
-        nullif(alt_data_source, '') AS source_data_source, vendor_id, {_SURVIVING}
+        nullif(alt_data_source, '') AS source_data_source, vendor_id, {_SURVIVING},
+        (SELECT count(*) FROM lics WHERE lics.cluster_id = kept.cluster_id) AS n_licenses
     FROM bridge JOIN kept ON anchor_id = anchor_entity_id AND anchor_source = anchor_data_source""",
 )
 def gold_records(spark, sf_dir):
     return _gold(spark, sf_dir).records
 
 
+@query(
+    "gold_licenses",
+    f"""WITH {kept_sql()} SELECT anchor_id AS anchor_entity_id, anchor_source AS anchor_data_source,
+        row_number() OVER (PARTITION BY cluster_id ORDER BY lics.rk) - 1 AS ordinal, license_id, expiration_date FROM lics JOIN kept USING (cluster_id)""",
+)
+def gold_licenses(spark, sf_dir):
+    """Licenses of gold records, in order."""
+    return _gold(spark, sf_dir).licenses.withColumn("expiration_date", _date_text())
+
+
 @query("run_record")
 def run_record(spark, sf_dir):
     settings = {"blocking": [r.name for r in corpus.BLOCKING], "cluster_threshold": 0.9}

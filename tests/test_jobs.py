@@ -53,7 +53,14 @@ def test_all_jobs(spark, raw):
     assert spark.read.parquet(layout.deduplicated("licenses_registry")).count() == 21
     anchors = {r["anchor_entity_id"] for r in out.anchors.collect()}
     assert anchors == {f"UEI{1000 + i}" for i in range(n)}
-    assert out.records.where("licenses IS NOT NULL").count() > 0
+    assert out.records.where("n_licenses > 0").count() > 0 and out.licenses.count() == out.anchors.agg({"n_licenses": "sum"}).first()[0]
+    # the newest run over the same sources is taken, and merging it again replaces its result
+    run_id = jobs.newest_run(spark, specs, layout)
+    rejected = spark.read.parquet(layout.integrated(run_id, "rejected")).count()
+    jobs.create_integrated(spark, specs, layout)
+    assert spark.read.parquet(layout.integrated(run_id, "rejected")).count() == rejected
+    with pytest.raises(ValueError):
+        jobs.newest_run(spark, specs[:1], layout)
     assert out.bridge.where("is_anchor").count() == out.anchors.count()
     # loading the same files again changes nothing
     before = jobs.silver_table(spark, layout, specs[0]).history().count()

@@ -3,6 +3,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from recordloom.operators import gold, survivorship
 
@@ -96,7 +98,11 @@ def test_merge_equals_the_row_at_a_time_rules(spark, seed):
     want = {c: _expected(ms) for c, ms in clusters.items()}
     records = {r["cluster_id"]: r for r in result.records.collect()}
     assert set(records) == {c for c, w in want.items() if w}
-    nested = {r["splink_id"]: r for r in survivorship.nest(result).collect()}
+    shaped = survivorship.shape(result)
+    listed = {}
+    for r in shaped.licenses.orderBy("ordinal").collect():
+        listed.setdefault(r["splink_id"], []).append(r)
+    counts = {r["splink_id"]: (r["n_alternates"], r["n_licenses"]) for r in shaped.records.collect()}
     for c, r in records.items():
         anchor, fields, alternates, vendor, licenses = want[c]
         assert r["anchor_entity"]["entity_id"] == anchor["entity_id"]
@@ -104,21 +110,27 @@ def test_merge_equals_the_row_at_a_time_rules(spark, seed):
         assert {f: r[f] for f in fields} == fields
         assert r["anchor_entity"]["vendor_id"] == vendor
         assert r["n_alternates"] == len(alternates)
-        assert [x["license_id"] for x in nested[c]["licenses"] or []] == licenses
-        assert len(nested[c]["alt_entities"] or []) == len(alternates)
+        assert [x["license_id"] for x in listed.get(c, [])] == licenses
+        assert [x["ordinal"] for x in listed.get(c, [])] == list(range(len(licenses)))
+        assert counts[c] == (len(alternates), len(licenses))
     assert {r["cluster_id"] for r in result.rejected.select("cluster_id").distinct().collect()} == {c for c, w in want.items() if not w}
     assert result.rejected.count() == sum(len(clusters[c]) for c, w in want.items() if not w)
 
 
-def test_large_clusters_nest_in_parts_without_loss(spark):
-    data = [registry("c", f"E{i:03d}", company_name="A", city="ROME") for i in range(50)]
+def test_children_have_one_shape_at_every_size(spark):
+    """Ordinals run from 0 without a gap however large the cluster and however many ranges hold it."""
+    data = [registry("c", f"E{i:03d}", company_name="A", city="ROME") for i in range(300)] + [registry("d", "X", company_name="B")]
     result = survivorship.integrate(frame(spark, data))
-    parts = survivorship.nest(result, rows=10).collect()
-    assert len(parts) > 1 and len({p["part"] for p in parts}) == len(parts)
-    assert sorted(a["entity_id"] for p in parts for a in p["alt_entities"]) == [f"E{i:03d}" for i in range(1, 50)]
-    assert gold.bridge_from_nested(survivorship.nest(result)).count() == 50
-    lists = survivorship.cluster_lists(frame(spark, data), rows=20).collect()
-    assert sum(len(x["records"]) for x in lists) == 50
+    shaped = survivorship.shape(result)
+    assert rows(shaped.records, "splink_id", "n_alternates") == [("c", 299), ("d", 0)]
+    alternates = shaped.alt_entities.orderBy("ordinal").collect()
+    assert [(r["ordinal"], r["entity_id"]) for r in alternates] == [(i, f"E{i + 1:03d}") for i in range(299)]
+    assert gold.bridge_of_shape(shaped).count() == 301
+    listed = survivorship.cluster_lists(frame(spark, data)).where("cluster_id = 'c'").orderBy("composite_id").collect()
+    assert [r["ordinal"] for r in listed] == list(range(300))
+    wide = spark.range(5000).select(F.when(F.col("id") < 4000, "hot").otherwise(F.col("id").cast("string")).alias("cluster_id"), F.col("id").alias("v"))
+    placed = survivorship.ordered(wide.repartition(7), F.col("v"))
+    assert placed.where("cluster_id = 'hot' AND ordinal = v").count() == 4000 and placed.where("cluster_id <> 'hot' AND ordinal = 0").count() == 1000
 
 
 def test_gold_joins_on_id_and_source(spark):
@@ -138,5 +150,5 @@ def test_gold_joins_on_id_and_source(spark):
     assert got == [
         ("business_entity_registry", "A", "", "V2"), ("business_entity_registry", "A", "E9", "V2"), ("sub_contractors_registry", "B", "", "V1"),
     ]
-    listed = gold.with_licenses(out.records, gold.dedup_clusters(result))
-    assert sum(len(r["licenses"] or []) for r in listed.collect()) == 2
+    assert rows(out.licenses, "anchor_entity_id", "anchor_data_source", "ordinal", "license_id") == [("E1", "business_entity_registry", 0, "L1")]
+    assert rows(out.records, "anchor_data_source", "n_licenses") == [("business_entity_registry", 1)] * 2 + [("sub_contractors_registry", 0)]
