@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,10 @@ SKETCH = 208
 #: Longs of the bitmap into which each shingle of a set is hashed.
 BITMAP = 16
 LEADER_ROUNDS = 2
+#: Pairs for which the set of one document is sent once.
+PARTNERS = 256
+#: Size of the Arrow batches in which texts and sets go to Python.
+BATCH_BYTES = 4 << 20
 _SKETCH_LONGS = -(-SKETCH // 64)
 _BLOCK = 2048
 
@@ -133,37 +138,55 @@ def may_be_similar(similarity_pct: int) -> Column:
 def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity_pct: int, scratch: Scratch) -> DataFrame:
     """Those of ``pairs (a, b)`` whose full shingle sets are similar enough.
 
-    Only texts named in a pair are moved. They are stored once and joined to the pairs; both
-    join inputs are exchanges, so adaptive execution splits the rows of a much-named document.
-    The result is stored and the texts are removed again.
+    The sets of the documents named in a pair are computed once and stored. The set of ``b`` is
+    sent once for ``PARTNERS`` of its pairs and comes before those of its partners, so a task
+    holds one set and lets the others pass; a much-named document is dealt to several tasks.
+    The result is stored and the sets are removed again.
     """
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    small = scratch.cut(texts(docs).where("doc_id IS NOT NULL").join(named, "doc_id", "left_semi"), "llm-named")
-    both = pairs.join(small.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a").join(small.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
-
-    def similar(batch: pa.RecordBatch) -> dict[str, object]:
-        known: dict[int, tuple[str, np.ndarray]] = {}
-        ok = np.zeros(batch.num_rows, dtype=bool)
-        a_sets = [s for part in slices(batch.column("text_a")) for s in shingle_sets(part, k)]
-        ids, column = batch.column("b").to_pylist(), batch.column("text_b")
-        for i, (node, own) in enumerate(zip(ids, a_sets)):
-            text = column[i].as_py() or ""
-            if node not in known or known[node][0] != text:
-                known.clear()
-                known[node] = (text, next(s for part in slices(pa.array([text])) for s in shingle_sets(part, k)))
-            other = known[node][1]
-            small_n, large_n = sorted((len(own), len(other)))
-            if 100 * small_n < similarity_pct * large_n:
-                continue
-            common = len(np.intersect1d(own, other, assume_unique=True))
-            ok[i] = common > 0 and 100 * common >= similarity_pct * (len(own) + len(other) - common)
-        return {"ok": ok}
-
-    links = scratch.cut(map_batches(both, similar, "ok boolean", keep=["a", "b"]).where("ok").select("a", "b").distinct(), "llm-links")
-    scratch.drop(small)
+    chosen = texts(docs).where("doc_id IS NOT NULL").join(named, "doc_id", "left_semi")
+
+    def sets_of(batch: pa.RecordBatch) -> dict[str, object]:
+        return {"shingles": [s.tobytes() for part in slices(batch.column("text")) for s in shingle_sets(part, k)]}
+
+    sets = scratch.cut(map_batches(chosen, sets_of, "shingles binary", keep=["doc_id"]), "llm-sets")
+    shares = pairs.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
+    dealt = pairs.join(shares, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    held = shares.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    held = held.join(sets.withColumnRenamed("doc_id", "b"), "b").select("b", "part", F.lit(None).cast("long").alias("a"), "shingles")
+    passing = dealt.join(sets.withColumnRenamed("doc_id", "a"), "a").select("b", "part", "a", "shingles")
+    # a null ``a`` sorts first
+    rows = held.unionByName(passing).repartition("b", "part").sortWithinPartitions("b", "part", "a").select("a", "b", "shingles")
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list[np.ndarray] = []
+        last = None  # what the row before was
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for a, b, body in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("shingles")):
+                shingles = np.frombuffer(body.as_buffer(), dtype=np.uint64)
+                if a is None:
+                    own = [*own, shingles.copy()] if last == (None, b) else [shingles.copy()]
+                elif any(_similar(shingles, s, similarity_pct) for s in own):
+                    found.append((a, b))
+                last = (a, b)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    links = scratch.cut(rows.mapInArrow(similar, "a long, b long").distinct(), "llm-links")
+    scratch.drop(sets)
     return links
 
 
+def _similar(x: np.ndarray, y: np.ndarray, similarity_pct: int) -> bool:
+    """Whether two sorted sets are similar enough; empty ones are not."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(small) or 100 * len(small) < similarity_pct * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int(np.count_nonzero(large[at] == small))
+    return 100 * common >= similarity_pct * (len(x) + len(y) - common)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> DataFrame:
     """One row per row of ``docs`` with the group of near copies it belongs to.
 
@@ -181,7 +204,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity_pct: int = 80) -> Da
     by any of their texts. An empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(spark, BATCH_BYTES)
     sig = scratch.cut(signatures(docs, k), "llm-signatures")
     usable = sig.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = scratch.cut(usable.groupBy("digest").agg(F.min("doc_id").alias("rep")), "llm-classes")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from recordloom.session import durable_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,23 +37,27 @@ class Scratch:
     While a table is written, Spark is asked to remove the shuffle files of that query at its
     end: nothing reads them once the table is there. :meth:`drop` removes tables whose readers
     have themselves been stored, so that an operator of many steps holds the disk of one step.
+    With ``batch_bytes`` the rows go to Python in Arrow batches of about that size.
     """
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, batch_bytes: int | None = None) -> None:
         self.spark = spark
+        self.confs = {_CLEANUP: "true"} | ({} if batch_bytes is None else {_BATCH_BYTES: str(batch_bytes)})
         self.tables: list[tuple[DataFrame, str]] = []
 
     def cut(self, df: DataFrame, tag: str) -> DataFrame:
         path = f"{durable_dir(self.spark)}/recordloom/{tag}-{uuid.uuid4().hex}"
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
+        before = {name: self.spark.conf.get(name, None) for name in self.confs}
+        for name, value in self.confs.items():
+            self.spark.conf.set(name, value)
         try:
             df.write.parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(_CLEANUP)
-            else:
-                self.spark.conf.set(_CLEANUP, before)
+            for name, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(name)
+                else:
+                    self.spark.conf.set(name, value)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.tables.append((out, path))
         return out
