@@ -19,9 +19,11 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 @dataclass
 class Mix:
-    """``docs``: a row per document with its place and ``taken``; ``sources``: targets; ``schedule``: slots in mixing order."""
+    """``docs``: a row per document with its place, ``taken`` and the first slot it fills; ``copies``: a row per copy
+    with its words and first slot; ``sources``: targets; ``schedule``: slots in mixing order."""
 
     docs: DataFrame
+    copies: DataFrame
     sources: DataFrame
     schedule: DataFrame
     block: int
@@ -66,7 +68,7 @@ def running(df: DataFrame, keys: list[str], part: str, value: str, order: list)
     return inner.join(sums.drop("#sum"), [*keys, part]).withColumn("start", F.col("#before") + F.col("#own")).drop("#before", "#own")
 
 
-def mix(docs: DataFrame) -> Mix:
+def mix(docs: DataFrame, row: str | None = None) -> Mix:
     """Decide how many words of each document the mixture takes, repeats counted.
 
     The points ``frac(i * golden ratio)`` are mapped through the cumulated targets, which gives
@@ -76,14 +78,18 @@ def mix(docs: DataFrame) -> Mix:
     target, and slots the sequence has not yet given a source by its end follow after it. So a
     source's taken words are its target, rounded, and no document exceeds ``MOST_PASSES`` times
     its size. The order comes from a digest of the id (ties: the text's hash), so reruns agree.
+    ``first_slot`` is the first slot of the schedule that a document fills, null where it is not
+    taken: the place in the mixture that the sequence gives it. ``row`` names a column that
+    numbers the rows; without it they are numbered here.
 
     Null text: size 0, taken 0. A null source is a source, the last. Null ids order as the empty
     text; rows that repeat an id are documents of their own. An empty table has an empty schedule.
     """
     spark = docs.sparkSession
     key = F.md5(F.concat(F.lit(_SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words("text").alias("size"), key.alias("order"), F.xxhash64("text").alias("h"))
-    sized = cut_lineage(sized.withColumn("row", F.monotonically_increasing_id()), "llm-sized")
+    number = F.monotonically_increasing_id() if row is None else F.col(f"`{row}`")
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words("text").alias("size"), key.alias("order"), F.xxhash64("text").alias("h"), number.alias("row"))
+    sized = cut_lineage(sized, "llm-sized")
     sources = cut_lineage(source_targets(sized), "llm-sources")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, -(-total // SLOTS))
@@ -113,28 +119,25 @@ def mix(docs: DataFrame) -> Mix:
     passes = F.transform(F.array(*map(F.lit, range(MOST_PASSES))), lambda p: F.col("start") + p * F.col("source_size"))
     again = placed.where("size > 0").select("row", "source_id", "size", "want", F.explode(passes).alias("at")).where("at < want")
     till = F.least(F.col("at") + F.col("size"), F.col("want"))
-    pieces = again.select("row", "source_id", "at", till.alias("till"))
-    pieces = pieces.select("row", "source_id", "at", "till", F.explode(F.sequence(F.floor(F.col("at") / block).cast("long"), F.floor((F.col("till") - 1) / block).cast("long"))).alias("rank"))
+    pieces = again.select("row", "size", "source_id", "at", till.alias("till"))
+    pieces = pieces.select("row", "size", "source_id", "at", "till", F.explode(F.sequence(F.floor(F.col("at") / block).cast("long"), F.floor((F.col("till") - 1) / block).cast("long"))).alias("rank"))
     length = F.least("till", (F.col("rank") + 1) * block) - F.greatest("at", F.col("rank") * block)
-    taken = pieces.join(schedule.select("source_id", "rank"), ["source_id", "rank"]).groupBy("row").agg(F.sum(length).alias("taken"))
-    out = placed.join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "h")
-    return Mix(out, sources, schedule, block)
+    copies = pieces.join(schedule, ["source_id", "rank"]).groupBy("row", "at").agg(F.sum(length).alias("words"), F.first("size").alias("size"), F.min("slot").alias("slot"))
+    copies = cut_lineage(copies, "llm-copies")
+    taken = copies.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
+    out = placed.join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", "row")
+    return Mix(out, copies.select("row", "words", "size", "slot"), sources, schedule, block)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` as the mixture has them: each as often as it is taken whole, and a last copy cut
-    to the words still due. Rows alike in id, source and text share what they are given evenly.
-    The columns are those of ``docs``; ``n_chars``, where there is one, follows a cut text.
+    """``docs`` as the mixture has them, in the order of the schedule: each as often as it is taken.
+
+    Documents stay whole. The last copy of a source, of which only some words are due, is dealt if
+    they are half of it or more, so a source is off its target by half a document at most. The
+    order is that of the slots that the copies' first words fill. The columns are those of ``docs``.
     """
     own = docs.columns
-    given = mix(docs).docs.groupBy("doc_id", "source", "h").agg(F.floor(F.sum("taken") / F.count("*")).alias("#taken"), F.max("size").alias("#size")).where("`#taken` > 0")
-    given = given.withColumnsRenamed({"doc_id": "#id", "source": "#source", "h": "#h"})
-    same = F.col("doc_id").eqNullSafe(F.col("#id")) & F.col("source").cast("string").eqNullSafe(F.col("#source")) & (F.xxhash64("text") == F.col("#h"))
-    whole, rest = F.floor(F.col("#taken") / F.col("#size")), F.col("#taken") % F.col("#size")
-    copies = F.concat(F.array_repeat(F.lit(0), whole.cast("int")), F.when(rest > 0, F.array(rest.cast("int"))).otherwise(F.array().cast("array<int>")))
-    parted = docs.join(given, same).select(*own, F.explode(copies).alias("#words"))
-    cut = F.when(F.col("#words") > 0, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.lit(1), F.col("#words")), " ")).otherwise(F.col("text"))
-    out = parted.withColumn("text", cut)
-    if "n_chars" in own:
-        out = out.withColumn("n_chars", F.when(F.col("#words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*own)
+    rows = cut_lineage(docs.withColumn("#row", F.monotonically_increasing_id()), "llm-rows")
+    dealt = mix(rows, "#row").copies.where("2 * words >= size").select(F.col("row").alias("#row"), "slot")
+    dealt = dealt.withColumnsRenamed({"slot": "#slot"}).join(rows, "#row")
+    return dealt.repartitionByRange("#slot", "#row").sortWithinPartitions("#slot", "#row").select(*own)

@@ -103,15 +103,22 @@ MIXTURE_SQL = rf"""
         / ((SELECT sum(w) FROM s) - coalesce((SELECT sum(w) FROM s b WHERE 3 * b.source_size / b.w < 3 * a.source_size / a.w), 0)) AS lev FROM s a),
     t AS (SELECT source, source_size, least(3.0 * source_size, w * coalesce((SELECT arg_min(lev, 3 * source_size / w) FROM l WHERE lev * w < 3 * source_size), 1e300)) AS target FROM l),
     p AS (SELECT doc_id, size, source_size, target, least(3 * source_size, floor(target + 0.5)::BIGINT) AS want,
-        sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS a
-        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS a, d.source
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    b AS (SELECT greatest(1, ceil(sum(source_size) / 1048576.0)::BIGINT) AS block, sum(source_size)::BIGINT AS total, ceil(sum(source_size) / greatest(1, ceil(sum(source_size) / 1048576.0)))::BIGINT AS slots FROM t),
+    r AS (SELECT *, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low
+        FROM (SELECT source, sum(target::DOUBLE) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / (SELECT total FROM b) AS high FROM t)),
+    g AS (SELECT i, i * 0.6180339887498949::DOUBLE - floor(i * 0.6180339887498949::DOUBLE) AS u FROM range((SELECT slots FROM b)) AS x(i)),
+    z AS (SELECT source, i AS slot, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS rank FROM g JOIN r ON u >= low AND u < high)
     SELECT doc_id, size, source_size, target::DOUBLE AS target, CAST(greatest(0, least(size, want - a)) + greatest(0, least(size, want - a - source_size))
-        + greatest(0, least(size, want - a - 2 * source_size)) AS BIGINT) AS taken FROM p"""
+        + greatest(0, least(size, want - a - 2 * source_size)) AS BIGINT) AS taken,
+        CASE WHEN size > 0 AND a < want THEN coalesce(z.slot, (SELECT slots FROM b) + a // (SELECT block FROM b)) END AS first_slot
+    FROM p LEFT JOIN z ON z.source IS NOT DISTINCT FROM p.source AND z.rank = a // (SELECT block FROM b)"""
 
 
 @query("op9_mixture", MIXTURE_SQL)
 def op9(spark, sf_dir):
-    return mixture.mix(table(spark, sf_dir, "documents")).docs.select("doc_id", "size", "source_size", "target", "taken")
+    return mixture.mix(table(spark, sf_dir, "documents")).docs.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 @query("op10_language")

@@ -242,8 +242,40 @@ def test_mixture_fills_targets(frame, docs, empty):
     assert all(abs(taken[s] - target[s]) <= 1 for s in names)
     mixed = mixture.mixed_documents(frame)
     assert mixed.columns == frame.columns
-    assert abs(sum(len(SPACED.findall((r.text or "").encode())) for r in mixed.collect()) - sum(target.values())) <= 5
-    assert mixture.mix(empty).docs.collect() == []
+    largest, dealt, given, whole = Counter(), Counter(), Counter(), {tuple(r) for r in frame.collect()}
+    for d in docs:
+        largest[d[3]] = max(largest[d[3]], len(SPACED.findall((d[1] or "").encode())))
+        given[d[3]] += 1
+    for r in mixed.collect():
+        assert tuple(r) in whole  # no text is cut
+        dealt[r.source] += len(SPACED.findall((r.text or "").encode()))
+    assert all(abs(dealt[s] - target[s]) <= largest[s] / 2 + 1 for s in names)
+    assert mixture.mix(empty).docs.collect() == [] and mixture.mixed_documents(empty).collect() == []
+
+
+def test_the_sequence_sets_the_order_of_the_mixture(frame, monkeypatch):
+    """Documents fill the slots that the golden ratio deals to their source; another sequence deals others."""
+    made = mixture.mix(frame)
+    golden = {r.row: r.first_slot for r in made.docs.collect()}
+    targets = sorted(made.sources.collect(), key=lambda r: r.source_id)
+    total, block = sum(r.source_size for r in targets), made.block
+    ranks, slots = Counter(), {}
+    for i in range(-(-total // block)):
+        u, high = i * 0.6180339887498949 % 1, 0.0
+        for r in targets:
+            high += r.target / total
+            if u < high:
+                slots[r.source_id, ranks[r.source_id]] = i
+                ranks[r.source_id] += 1
+                break
+    rows_of = {(r.source_id, r["rank"]): r.slot for r in made.schedule.collect()}
+    assert sum(rows_of.get(k) == v for k, v in slots.items()) >= len(slots) - 3 * len(targets)  # but for the ends of the targets
+    assert set(golden.values()) - {None} <= set(rows_of.values())
+    order = [r.source for r in mixture.mixed_documents(frame).collect()]
+    monkeypatch.setattr(mixture, "_GOLDEN", 0.25)
+    other = mixture.mix(frame).docs.collect()
+    assert [r.first_slot for r in other] != [golden[r.row] for r in other]
+    assert [r.source for r in mixture.mixed_documents(frame).collect()] != order
 
 
 def test_coder_round_trips_and_rejects_damage():
