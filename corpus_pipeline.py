@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.llm import contamination, language, mixture, near_dedup, token_blocks
 from recordloom.llm.queries import tokenizer_path
@@ -18,17 +18,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One document of each group of near copies, by shingles of five words.
 
-    Rows that repeat an id become one row, the one whose text comes first. Rows without an id
-    take no part in groups and stay.
+    Rows are numbered first, so those that repeat an id, or have none, are documents of their own.
+    Of a group the smallest id stays, null last; of rows that tie, the first.
     """
-    found = near_dedup.near_duplicates(docs)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     own = docs.columns
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    first = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*own, F.row_number().over(order).alias("#place"))
-    return first.where("`#place` = 1").select(*own).unionByName(docs.where("doc_id IS NULL"))
+    rows = cut_lineage(docs.withColumn("#row", F.monotonically_increasing_id()), "llm-numbered")
+    found = near_dedup.near_duplicates(rows.select(F.col("#row").alias("doc_id"), "text"), k=5)
+    named = rows.select("#row", F.col("doc_id").alias("#id")).join(found.select(F.col("doc_id").alias("#row"), "component_id"), "#row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("#id").isNull().alias("n"), "#id", "#row")).alias("first"))
+    return rows.join(first.select("first.#row"), "#row", "left_semi").select(*own)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it; the last copy of a source is cut to what is due."""
+    """Each document, whole, as often as the mixture takes it, in the order of the schedule."""
     return mixture.mixed_documents(docs)
 
 
