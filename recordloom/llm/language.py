@@ -138,14 +138,18 @@ class ByteModels:
 def training_rows(docs: DataFrame, learn_from, limit: int = TRAIN_BYTES) -> DataFrame:
     """``lang, text`` of a fixed pseudo-random choice of the labelled rows, about ``limit`` bytes a language.
 
-    Whole texts are taken, at the rate that the bytes of their language allow. One row per
-    language is broadcast.
+    Whole texts are taken, at the rate that the bytes of their language allow, and always the one
+    of the smallest draw, so a language whose bytes lie in a few long texts is learned too. One
+    row per language is broadcast.
     """
     rows = docs.where(learn_from).where("lang IS NOT NULL AND text IS NOT NULL")
-    rate = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(limit)) / F.greatest(F.lit(1), F.sum(F.octet_length("text")))).alias("rate"))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
-    drawn = rows.select("lang", "text", draw.alias("draw")).join(F.broadcast(rate.withColumnRenamed("lang", "of")), F.col("lang") == F.col("of"))
-    return drawn.where("draw < rate").select("lang", "text")
+    rate = rows.groupBy(F.col("lang").alias("of")).agg(
+        F.least(F.lit(1.0), F.lit(float(limit)) / F.greatest(F.lit(1), F.sum(F.octet_length("text")))).alias("rate"),
+        F.min(F.when(F.octet_length("text") > 0, draw)).alias("first"),
+    )
+    drawn = rows.select("lang", "text", draw.alias("draw")).join(F.broadcast(rate), F.col("lang") == F.col("of"))
+    return drawn.where("draw < rate OR draw = first").select("lang", "text")
 
 
 def train(rows: DataFrame) -> ByteModels | None:
@@ -221,8 +225,11 @@ def identify(docs: DataFrame, learn_from) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, learn_from) -> DataFrame:
-    """Rows of ``docs`` whose language can be told, with their own columns only."""
+    """Rows of ``docs`` whose language can be told, with their own columns only; where nothing is
+    labelled, the rows whose text has a letter."""
     models = train(training_rows(docs, learn_from))
+    if models is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     own = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own if c != "text"]).alias("own"), "text")
     kept = with_language(packed, models).where(F.col("language.lang_pred") != UNKNOWN)

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from recordloom.session import cut_lineage
@@ -67,3 +68,13 @@ def test_stages_take_odd_and_empty_tables(spark, odd):
                 assert after.columns == odd.columns
             docs = after
     assert docs.count() == 0
+
+
+def test_language_of_few_or_no_labelled_rows(spark, odd):
+    """Without a label texts with letters stay; a language of a few long texts is learned."""
+    from recordloom.llm import language
+
+    bare = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.identify_language(spark, bare, SF).count() == odd.where("length(text) > 0").count()
+    long = spark.createDataFrame([(i, "ein langer Text " * 500, "de") for i in range(3)], "doc_id long, text string, lang string")
+    assert language.training_rows(long, F.lit(True), limit=1).count() >= 1
