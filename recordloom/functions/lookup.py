@@ -40,13 +40,29 @@ def _segments(length: Column, tolerance: Column) -> Column:
     )
 
 
+def _shifts() -> dict[str, Column]:
+    """Least and most shift of a segment of an entry (``el, tol, seg``) in a label (``ql``) within ``edits``.
+
+    The shift is what the edits before the segment add or take, and the rest of the difference in
+    length falls behind it. There are no more edits before it than segments, nor behind it, nor on
+    both sides than the pair allows.
+    """
+    i, rest, longer = F.col("seg.i"), F.col("tol") - F.col("seg.i"), F.col("ql") - F.col("el")
+    return {
+        "low": F.greatest(-i, longer - rest, F.ceil((longer - F.col("edits")) / 2).cast("int")),
+        "high": F.least(i, longer + rest, F.floor((longer + F.col("edits")) / 2).cast("int")),
+    }
+
+
 def fuzzy_code(labels: DataFrame, label: str, mapping: DataFrame, threshold: int = FUZZY_THRESHOLD) -> DataFrame:
     """Best mapping entry per distinct label with similarity of at least ``threshold`` percent.
 
-    Similarity is ``1 - levenshtein / longer length``. Two strings within ``t`` edits share
-    one of ``t + 1`` segments of the shorter description almost in place (pigeonhole), so
-    candidates come from an equi-join on (length, segment number, segment text) instead of
-    comparing every label with every entry. The join loses no qualifying pair.
+    Similarity is ``1 - levenshtein / longer length``. An entry is cut into one segment more than
+    any partner may have edits, so some segment is free of edits, and one of those lies such
+    that the segments before it hold no more edits than they are, and those behind it as well.
+    Candidates therefore come from an equi-join on (length, segment number, segment text), with
+    each segment looked for only where :func:`_shifts` lets it stand, instead of comparing every
+    label with every entry. The join loses no qualifying pair.
     """
     if not 50 < threshold <= 100:
         raise ValueError("the segment join is exact only for thresholds above 50 and up to 100")
@@ -80,17 +96,12 @@ def fuzzy_code(labels: DataFrame, label: str, mapping: DataFrame, threshold: int
             ),
         )
         .withColumn("tol", tolerance)
+        .withColumn("edits", F.floor(F.greatest("ql", "el") * slack + 1e-9).cast("int"))
         .withColumn("seg", F.explode(_segments(F.col("el"), F.col("tol"))))
-        .withColumn(
-            "at",
-            F.explode(
-                F.sequence(
-                    F.greatest(F.lit(1), F.col("seg.start") - F.col("tol")),
-                    F.greatest(F.lit(1), F.col("seg.start") + F.col("tol")),
-                )
-            ),
-        )
-        .where(F.col("at") + F.col("seg.size") - 1 <= F.col("ql"))
+        .withColumns(_shifts())
+        .withColumns({"low": F.greatest(F.lit(1), F.col("seg.start") + F.col("low")), "high": F.least(F.col("seg.start") + F.col("high"), F.col("ql") - F.col("seg.size") + 1)})
+        .where("low <= high")
+        .withColumn("at", F.explode(F.sequence("low", "high")))
         .select(
             "q", "qk", "ql", "el", F.col("seg.i").alias("si"),
             F.substring("qk", F.col("at"), F.col("seg.size")).alias("piece"),
