@@ -12,9 +12,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from recordloom.llm.tables import cut_lineage, texts
+from recordloom.llm.tables import Scratch, texts
 from recordloom.llm.words import slices
 
+#: Size of the Arrow batches in which texts go to Python.
+BATCH_BYTES = 4 << 20
 END_ID = 2
 #: A block closes at the first document's end after so many ids; it is coded in parallel lanes.
 BLOCK_IDS, LANES = 1 << 16, 64
@@ -358,7 +360,8 @@ def write_blocks(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         if ready:
             yield flush()
 
-    return cut_lineage(dealt.select("doc_id", "text").mapInArrow(encode, "shard int, block int, before long, n_ids long, data binary"), "llm-token-blocks")
+    coded = dealt.select("doc_id", "text").mapInArrow(encode, "shard int, block int, before long, n_ids long, data binary")
+    return Scratch(docs.sparkSession, BATCH_BYTES).cut(coded, "llm-token-blocks")
 
 
 def read_blocks(stored: DataFrame, with_ids: bool = False) -> DataFrame:
