@@ -6,15 +6,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.llm import contamination, language, mixture, near_dedup, token_blocks
 from recordloom.llm.queries import tokenizer_path
-from recordloom.llm.tables import crc_fold, cut_lineage, table
+from recordloom.llm.tables import Scratch, crc_fold, cut_lineage, table
+
+#: Size of the Arrow batches in which texts go to Python; a task holds a few on either side.
+BATCH_BYTES = 4 << 20
 
 #: No SQL can follow the byte models and the coder; the tests use brute force.
 ORACLE_SQL = None
 
 
+def _stored(found: DataFrame, tag: str) -> DataFrame:
+    """The rows of a stage that sends texts to Python, written in small batches."""
+    return Scratch(found.sparkSession, BATCH_BYTES).cut(found, tag)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language cannot be told: null texts and texts without a letter."""
-    return language.keep_identified(docs, crc_fold("doc_id", 4) != 2)
+    return _stored(language.keep_identified(docs, crc_fold("doc_id", 4) != 2), "llm-identified")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which benchmark passages make up a twentieth or more."""
-    return contamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return _stored(contamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark")), "llm-clean")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in coded blocks, read back: a row per document of the mixture."""
-    return token_blocks.token_ids(docs, tokenizer_path())
+    return _stored(token_blocks.token_ids(docs, tokenizer_path()), "llm-token-ids")
 
 
 STAGES = [
