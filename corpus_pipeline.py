@@ -35,8 +35,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = cut_lineage(docs.withColumn("#row", F.monotonically_increasing_id()), "llm-numbered")
     found = near_dedup.near_duplicates(rows.select(F.col("#row").alias("doc_id"), "text"), k=5)
     named = rows.select("#row", F.col("doc_id").alias("#id")).join(found.select(F.col("doc_id").alias("#row"), "component_id"), "#row")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("#id").isNull().alias("n"), "#id", "#row")).alias("first"))
-    return rows.join(first.select("first.#row"), "#row", "left_semi").select(*own)
+    named = cut_lineage(named, "llm-groups")
+    order = F.struct(F.col("#id").isNull().alias("n"), "#id", "#row")
+    first = named.groupBy("component_id").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("component_id", F.col("first.#row").alias("#first"))
+    # what goes is the smaller part, so whole rows are matched with that
+    gone = cut_lineage(named.join(first, "component_id").where("`#row` <> `#first`").select("#row"), "llm-gone")
+    return rows.join(gone, "#row", "left_anti").select(*own)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
