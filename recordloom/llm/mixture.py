@@ -129,15 +129,18 @@ def mix(docs: DataFrame, row: str | None = None) -> Mix:
     return Mix(out, copies.select("row", "words", "size", "slot"), sources, schedule, block)
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, in_order: bool = True) -> DataFrame:
     """``docs`` as the mixture has them, in the order of the schedule: each as often as it is taken.
 
     Documents stay whole. The last copy of a source, of which only some words are due, is dealt if
     they are half of it or more, so a source is off its target by half a document at most. The
-    order is that of the slots that the copies' first words fill. The columns are those of ``docs``.
+    order is that of the slots that the copies' first words fill; a caller that puts the rows in an
+    order of its own need not pay for it. The columns are those of ``docs``.
     """
     own = docs.columns
     rows = cut_lineage(docs.withColumn("#row", F.monotonically_increasing_id()), "llm-rows")
     dealt = mix(rows, "#row").copies.where("2 * words >= size").select(F.col("row").alias("#row"), "slot")
     dealt = dealt.withColumnsRenamed({"slot": "#slot"}).join(rows, "#row")
-    return dealt.repartitionByRange("#slot", "#row").sortWithinPartitions("#slot", "#row").select(*own)
+    if in_order:
+        dealt = dealt.repartitionByRange("#slot", "#row").sortWithinPartitions("#slot", "#row")
+    return dealt.select(*own)
