@@ -49,8 +49,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document, whole, as often as the mixture takes it, in the order of the schedule."""
-    return mixture.mixed_documents(docs)
+    """Each document, whole, as often as the mixture takes it; the next stage sorts them by id."""
+    return mixture.mixed_documents(docs, in_order=False)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
