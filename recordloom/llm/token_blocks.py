@@ -21,7 +21,7 @@ END_ID = 2
 #: A block closes at the first document's end after so many ids; it is coded in parallel lanes.
 BLOCK_IDS, LANES = 1 << 16, 64
 #: Ids coded together; the arrays of a step span the lanes of all their blocks.
-BATCH_IDS = 1 << 21
+BATCH_IDS = 1 << 19
 ALPHABET = 1 << 16
 CACHE_WORDS = 400_000
 
@@ -359,6 +359,7 @@ def write_blocks(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         close()
         if ready:
             yield flush()
+        tok.known.clear()  # a worker outlives its task, its words need not
 
     coded = dealt.select("doc_id", "text").mapInArrow(encode, "shard int, block int, before long, n_ids long, data binary")
     return Scratch(docs.sparkSession, BATCH_BYTES).cut(coded, "llm-token-blocks")
