@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.llm import contamination, language, mixture, near_dedup, token_blocks
 from recordloom.llm.queries import tokenizer_path
-from recordloom.llm.tables import Scratch, crc_fold, cut_lineage, table
+from recordloom.llm.tables import crc_fold, cut_lineage, table
 
 #: Size of the Arrow batches in which texts go to Python; a task holds a few on either side.
 BATCH_BYTES = 4 << 20
@@ -15,14 +15,15 @@ BATCH_BYTES = 4 << 20
 ORACLE_SQL = None
 
 
-def _stored(found: DataFrame, tag: str) -> DataFrame:
-    """The rows of a stage that sends texts to Python, written in small batches."""
-    return Scratch(found.sparkSession, BATCH_BYTES).cut(found, tag)
+def _small_batches(spark: SparkSession) -> None:
+    """Set the size of Arrow batches for this session: the rows of a stage are written by its caller."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language cannot be told: null texts and texts without a letter."""
-    return _stored(language.keep_identified(docs, crc_fold("doc_id", 4) != 2), "llm-identified")
+    _small_batches(spark)
+    return language.keep_identified(docs, crc_fold("doc_id", 4) != 2)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which benchmark passages make up a twentieth or more."""
-    return _stored(contamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark")), "llm-clean")
+    _small_batches(spark)
+    return contamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in coded blocks, read back: a row per document of the mixture."""
-    return _stored(token_blocks.token_ids(docs, tokenizer_path()), "llm-token-ids")
+    _small_batches(spark)
+    return token_blocks.token_ids(docs, tokenizer_path())
 
 
 STAGES = [
