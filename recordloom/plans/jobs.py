@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
@@ -26,9 +27,9 @@ from recordloom.operators.validate import validate
 from recordloom.plans.settings_er import ResolutionSettings
 from recordloom.session import cut_lineage
 from recordloom.settings import HASH_DIFF, LOAD_TS, SAMPLE_ROWS
-from recordloom.sources.readers import read_any, read_parquet
-from recordloom.sources.writers import overwrite_table, quarantine_clusters, quarantine_rows, write_json, write_parquet
-from recordloom.specs import SourceSpec, spec_for_path
+from recordloom.sources.readers import READERS, discover, file_type, not_loaded, path_exists, read_any, read_csv, read_parquet
+from recordloom.sources.writers import move_files, overwrite_table, quarantine_clusters, quarantine_rows, write_json, write_parquet
+from recordloom.specs import SourceSpec, route, spec_for_path
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +49,9 @@ class Layout:
     def errors(self, source: str) -> str:
         return f"{self.root}/errors/{source}/errors.parquet"
 
+    def manifest(self) -> str:
+        return f"{self.root}/manifest"
+
     def run(self, run_id: str) -> str:
         return f"{self.root}/entity_resolution/{run_id}"
 
@@ -67,10 +71,55 @@ def bronze_to_silver(spark: SparkSession, path: str, specs: Sequence[SourceSpec]
     spec = spec_for_path(path, specs)
     if spec is None:
         raise ValueError(f"no source matches {path!r}")
-    checked = validate(read_any(spark, path, spec.raw_schema if path.endswith(".csv") else None), spec)
+    checked = validate(read_any(spark, path, spec.raw_schema if file_type(path) == ".csv" else None, spec.multi_line), spec)
     return load_validated(spark, checked.stored(), layout)
 
 
+_PLANNED = "batch string, source string, file_type string, path string, length long"
+
+
+def load_new_files(spark: SparkSession, prefix: str, specs: Sequence[SourceSpec], layout: Layout, archive: str | None = None) -> list[dict]:
+    """Load every raw file below ``prefix`` that no earlier call has loaded: one batch per source and file type.
+
+    A manifest under the layout lists the files of each batch before it is loaded and the batches
+    that are. A call that died leaves a planned batch, which the next call loads first under the
+    same name, so its rows and its quarantine are there once. Files of no source are left alone.
+    With ``archive``, a folder outside ``prefix``, loaded files are moved there. The driver holds the
+    names of new files, never their contents.
+    """
+    manifest, by_name = layout.manifest(), {s.name: s for s in specs}
+    planned = _stored(spark, f"{manifest}/planned", _PLANNED)
+    files = discover(spark, prefix).withColumn("source", route(F.col("path"), [(s.path_pattern, s.name) for s in specs])).where("source IS NOT NULL")
+    fresh = [r for r in not_loaded(files, planned).select("source", "path", "length").collect() if file_type(r["path"])]
+    named: dict[tuple[str, str], list] = {}
+    for r in sorted(fresh, key=lambda r: r["path"]):
+        named.setdefault((r["source"], file_type(r["path"])), []).append(r)
+    if named:
+        batch = {key: hashlib.sha256("\n".join(r["path"] for r in rows).encode()).hexdigest()[:16] for key, rows in named.items()}
+        rows = [(batch[key], *key, r["path"], r["length"]) for key, group in named.items() for r in group]
+        write_parquet(spark.createDataFrame(rows, _PLANNED), f"{manifest}/planned", mode="append")
+    waiting = _stored(spark, f"{manifest}/planned", _PLANNED).join(_stored(spark, f"{manifest}/loaded", "batch string"), "batch", "left_anti")
+    waiting = waiting.where(F.col("source").isin(list(by_name))).groupBy("batch", "source", "file_type").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("source", "batch").collect()
+    out = []
+    for todo in waiting:
+        spec, paths = by_name[todo["source"]], todo["paths"]
+        if todo["file_type"] == ".csv":
+            raw = read_csv(spark, paths, spec.raw_schema, spec.multi_line)
+        else:
+            raw = READERS[todo["file_type"]](spark, paths)
+        out.append(load_validated(spark, validate(raw, spec).stored(), layout, todo["batch"]) | {"files": len(paths)})
+        write_parquet(spark.createDataFrame([(todo["batch"],)], "batch string"), f"{manifest}/loaded", mode="append")
+    if archive is not None:
+        loaded = _stored(spark, f"{manifest}/planned", _PLANNED).join(_stored(spark, f"{manifest}/loaded", "batch string"), "batch", "left_semi")
+        move_files(spark, [r["path"] for r in files.join(loaded.select("path"), "path", "left_semi").select("path").collect()], prefix, archive)
+    return out
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the manifest, empty before its first row."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def load_validated(spark: SparkSession, checked, layout: Layout, batch: str | None = None) -> dict:
     """Quarantine the rejected rows and upsert the valid ones. A named batch that is loaded again changes neither."""
     spec = checked.spec

@@ -12,18 +12,35 @@ from recordloom.functions.keys import restore_unknown
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, multi_line: bool | None = True) -> DataFrame:
     """Header row to string columns. With a schema, unreadable lines keep their text in ``_corrupt_record``.
 
-    Quoted values may span lines, which makes a file unsplittable; feeds of very large
-    single files should arrive as Parquet.
+    Quoted values may span lines, which makes a file unsplittable: one task reads all of it. With
+    ``multi_line`` None a scan over the lines looks first whether any value does, and if none does
+    the files are split; both ways give the same rows. False says that none does.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
+    if multi_line is None:
+        multi_line = lines_need_context(spark, path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("encoding", "UTF-8")
     if schema is None:
         return reader.option("inferSchema", False).csv(path)
     return reader.schema(with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
+def lines_need_context(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether some line of the CSV files can not be read without those around it.
+
+    A quote within a value is doubled, so a value spans lines only if some line has an odd number
+    of quotes. Lines that end in a bare carriage return, or hold only blanks, count as well: the
+    reader of single lines takes them in another way. The scan is split, and ends at the first such line.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    line = F.col("value")
+    odd = F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1
+    blank = line.rlike(r"\A[ \t\x0B\f]+\r?\z")
+    return not lines.where(odd | line.rlike(r"\r(?!\z)") | blank).isEmpty()
+
+
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
@@ -42,11 +59,18 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType |
 READERS = {".csv": read_csv, ".parquet": read_parquet, ".json": read_json}
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Dispatch on the file extension."""
-    extension = next((e for e in READERS if path.rstrip("/").lower().endswith(e)), None)
+def file_type(path: str) -> str | None:
+    """The extension of a file that can be read, else null."""
+    return next((e for e in READERS if path.rstrip("/").lower().endswith(e)), None)
+
+
+def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool | None = True) -> DataFrame:
+    """Dispatch on the file extension; ``multi_line`` is for CSV."""
+    extension = file_type(path)
     if extension is None:
         raise ValueError(f"unknown file type for {path!r}, expected one of {sorted(READERS)}")
+    if extension == ".csv":
+        return read_csv(spark, path, schema, multi_line)
     return READERS[extension](spark, path, schema)
 
 
@@ -99,3 +123,8 @@ def read_table(
 def not_loaded(files: DataFrame, manifest: DataFrame, path: str = "path") -> DataFrame:
     """Files that the manifest of processed files does not list yet."""
     return files.join(manifest.select(path), path, "left_anti")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.settings import CLUSTER_ID
 
@@ -48,3 +48,18 @@ def quarantine_clusters(rejected: DataFrame, path: str) -> None:
     it is never packed into one value. The folder is that of a run, which replaces its own rows.
     """
     write_parquet(rejected.sortWithinPartitions(CLUSTER_ID), path, mode="overwrite")
+
+
+def move_files(spark: SparkSession, paths: list[str], prefix: str, folder: str) -> None:
+    """Move files below ``prefix`` to the same place below ``folder``; a file that is there already stays where it is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(prefix).getFileSystem(conf)
+    root = fs.makeQualified(path(prefix)).toUri()
+    for name in paths:
+        own = fs.makeQualified(path(name))
+        there = path(folder, root.relativize(own.toUri()).getPath())
+        if not fs.exists(there):
+            fs.mkdirs(there.getParent())
+            if not fs.rename(own, there):
+                raise OSError(f"{name!r} was not moved to {there.toString()!r}")

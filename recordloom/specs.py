@@ -31,6 +31,7 @@ class SourceSpec:
     ``derived`` names intermediate values that several of them use, computed once per row.
     ``raw_rejects`` see the raw columns, ``rejects`` the canonical ones.
     ``lookups`` are applied to the cleaned frame (for example a code-to-label join).
+    ``multi_line`` tells whether values of its CSV files span lines; None has the files looked at.
     """
 
     name: str
@@ -45,6 +46,7 @@ class SourceSpec:
     raw_rejects: tuple[Reject, ...] = ()
     lookups: tuple[Callable[[DataFrame], DataFrame], ...] = ()
     weight_column: str | None = None
+    multi_line: bool | None = None
 
     def __post_init__(self):
         names = set(self.schema.fieldNames())

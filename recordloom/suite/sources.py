@@ -13,16 +13,15 @@ from recordloom.suite.base import query, scratch, table
 CSV_COLUMNS = ("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
-@query(
-    "csv_scan",
-    """
+_CSV_SQL = """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, '"' || c_name || '", ' || c_mktsegment AS c_name,
            CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,
            CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
     FROM customer
-    """,
-)
-def csv_scan(spark, sf_dir):
+    """
+
+
+def _read_back(spark, sf_dir, multi_line):
     """Write customers as CSV with quotes and commas inside values, read them back as strings."""
     path = scratch(spark, "csv")
     out = table(spark, sf_dir, "customer").select(
@@ -33,7 +32,18 @@ def csv_scan(spark, sf_dir):
     )
     out.write.option("header", True).option("escape", '"').csv(path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS])
-    return readers.read_csv(spark, path, schema).select(*CSV_COLUMNS)
+    return readers.read_csv(spark, path, schema, multi_line).select(*CSV_COLUMNS)
+
+
+@query("csv_scan", _CSV_SQL)
+def csv_scan(spark, sf_dir):
+    return _read_back(spark, sf_dir, True)
+
+
+@query("csv_scan_split", _CSV_SQL)
+def csv_scan_split(spark, sf_dir):
+    """The same files, found to hold no value over several lines and read in splits."""
+    return _read_back(spark, sf_dir, None)
 
 
 @query("column_subset", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.text import canonical
+from recordloom.plans import jobs
 from recordloom.plans.jobs import Layout, silver_table
+from recordloom.sources.readers import discover
 from recordloom.specs import Reject, SourceSpec
 from recordloom.streaming.ingest import RunningSample, ingest_bronze, raw_stream, run_available
 from recordloom.suite.auditing import WEIGHTS, _SAMPLE_SQL
@@ -63,6 +65,19 @@ def incremental_ingest(spark, sf_dir):
     return silver_table(spark, layout, EVENT_SPEC).read().select("event_id", "user_id", "event_type", "value")
 
 
+@query(
+    "load_new_files",
+    """SELECT event_id, user_id, upper(event_type) AS event_type, value, 1 AS loads, 0 AS files_left FROM events
+       WHERE event_type <> 'error' AND user_id IS NOT NULL AND NOT coalesce(value < 0, false)""",
+)
+def load_new_files(spark, sf_dir):
+    """A folder loaded by its manifest: the second call finds nothing new, and what is loaded is archived."""
+    files, layout, archive = _event_files(spark, sf_dir, "csv"), Layout(scratch(spark, "event-lake")), scratch(spark, "archive")
+    loads = [n for _ in range(2) for n in jobs.load_new_files(spark, files, [EVENT_SPEC], layout, archive)]
+    rows = silver_table(spark, layout, EVENT_SPEC).read().select("event_id", "user_id", "event_type", "value")
+    return rows.select("*", F.lit(len(loads)).alias("loads"), F.lit(discover(spark, files).count()).cast("int").alias("files_left"))
+
+
 @query(
     "ingest_twice",
     """SELECT event_id, user_id, upper(event_type) AS event_type, value, true AS one_interval FROM events
