@@ -137,6 +137,25 @@ def test_required_equalities():
     assert {r.name for r in refined} == {"eid", "name"}
 
 
+def test_frequent_values_are_not_paired_as_a_whole(spark):
+    """A value too frequent to carry a pair meets only where the rows agree on more; no passing pair is lost."""
+    rng = random.Random(8)
+    data = [(f"s{i % 3}", str(i), f"e{i // 2 if i % 9 == 0 else i}", "SAME" if i % 3 else f"N{i % 40}", rng.choice(["x", "y", None])) for i in range(240)]
+    df = spark.createDataFrame(data, "data_source string, unique_id string, eid string, name string, city string")
+    records = blocking.with_profile_id(df, COLUMNS)
+    profiles = model.with_term_frequencies(blocking.profiles(records, COLUMNS), COMPARISONS, "n_records").localCheckpoint()
+    sharp = MatchModel(COMPARISONS, 0.001, {
+        "eid": {0: (0.4, 0.99), 1: (0.6, 0.01)}, "name": {0: (0.2, 0.7), 1: (0.2, 0.2), 2: (0.1, 0.09), 3: (0.5, 0.01)}, "city": MODEL.parameters["city"],
+    })
+    everything = model.score_pairs(model.comparison_vectors(blocking.all_pairs(profiles, RULES), COMPARISONS), sharp)
+    shape = [F.col("l.pid").alias("a"), F.col("r.pid").alias("b"), F.round("match_weight", 9).alias("w"), "n_pairs"]
+    for threshold in (0.002, 0.05, 0.5, 0.9, 0.999):
+        got = resolution.predict(profiles, RULES, sharp, threshold)
+        assert rows(got.select(*shape)) == rows(everything.where(F.col("match_probability") >= threshold).select(*shape))
+    assert blocking.profile_pairs(profiles, [block_on("name")]).count() > 12_000
+    assert blocking.profile_pairs(profiles, resolution.rare_rules(RULES, sharp, 0.05)).count() < 1_000
+
+
 def test_components_do_not_depend_on_edge_order(spark):
     rng = random.Random(5)
     edges = [(f"n{rng.randint(0, 150):03d}", f"n{rng.randint(0, 150):03d}") for _ in range(110)]
