@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours: a graph by NN-descent, queries by greedy graph search."""
+"""Nearest neighbours: a graph by NN-descent, queries by greedy graph search, confirmed on all vectors."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordloom.llm.mixture import running
 from recordloom.llm.tables import Scratch, cut_lineage
+from recordloom.llm.vector_blocks import Arrays, arrow_rows, matrix, meet, pack, unpack
 
 #: Neighbours of a node in the graph; as many reverse ones take part in joins and searches.
 DEGREE = 16
@@ -21,6 +22,8 @@ SETTLED = 0.02
 OFFERS = 6
 #: Length of a query's list of nearest nodes, and nodes that every search starts from.
 BEAM, ENTRIES, STEPS = 40, 16, 24
+#: Nodes of a block and queries of a chunk that meet in the check, queries measured side by side, and pairs.
+CHECK_NODES, CHECK_QUERIES, CHECK_ROWS, CHECK_PAIRS = 8192, 1024, 256, 1 << 16
 _SEED = 11
 
 
@@ -201,14 +204,100 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame) -> DataFrame:
     return beam.select("query_id", "near", "d")
 
 
+def _packed(rows: DataFrame, idents: list[str], dimension: int, size: int, n: int, tag: str) -> DataFrame:
+    """``no, body``: the columns ``idents`` and ``vec`` of ``n`` rows in blocks of at most ``size``, stored."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Arrays] = []
+        count = 0
+
+        def done() -> pa.RecordBatch:
+            whole = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+            return pa.RecordBatch.from_arrays([pa.array([pack(whole)], pa.binary())], names=["body"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                own = batch.slice(at, size)
+                if held and count + own.num_rows > size:
+                    yield done()
+                    held, count = [], 0
+                held.append({c: own.column(c).to_numpy(zero_copy_only=False) for c in idents} | {"x": matrix(own.column("vec"), dimension)})
+                count += own.num_rows
+        if held:
+            yield done()
+
+    with arrow_rows(rows.sparkSession, dimension):
+        dealt = rows.select(*idents, "vec").repartition(max(1, -(-n // (2 * size))))
+        packed = dealt.mapInArrow(gather, "body binary")
+        return cut_lineage(packed.withColumn("no", F.monotonically_increasing_id()), tag)
+
+
+def confirmed(nodes: DataFrame, found: DataFrame, queries: DataFrame, k: int, dimension: int, middle: np.ndarray) -> DataFrame:
+    """``query_id, near, d``: the ``k`` nearest of all ``nodes (node, first, vec)`` to each query, among others.
+
+    The search leaves each query the distance of its ``k``-th node, which few nodes undercut. Blocks of
+    nodes pass the queries; a matrix product rules out what is farther, allowing for its rounding,
+    and the rest is measured. Of a block the ``k`` nearest remain, ties by the node's least id.
+    """
+    order = Window.partitionBy("query_id").orderBy("d", "near")
+    reach = found.withColumn("place", F.row_number().over(order)).where(F.col("place") == k).select("query_id", F.col("d").alias("reach"))
+    asked = queries.join(reach, "query_id", "left").select("query_id", "vec", F.coalesce("reach", F.lit(float("inf"))).alias("reach"))
+    asked = cut_lineage(asked, "llm-asked")
+    chunks = _packed(asked, ["query_id", "reach"], dimension, CHECK_QUERIES, asked.count(), "llm-check-queries")
+    blocks = _packed(nodes, ["node", "first"], dimension, CHECK_NODES, nodes.count(), "llm-check-nodes")
+    units = chunks.select(F.col("no").alias("chunk")).crossJoin(blocks.select(F.col("no").alias("block")))
+
+    def prepare(own: Arrays) -> Arrays:
+        y = own["x"] - middle
+        return own | {"y": y, "n": (y * y).sum(axis=1)}
+
+    def kernel(own: Arrays, chunk: Arrays) -> Arrays | None:
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        z = chunk["x"] - middle
+        m = (z * z).sum(axis=1)
+        for i in range(0, len(z), CHECK_ROWS):
+            some = slice(i, i + CHECK_ROWS)
+            both = m[some, None] + own["n"]
+            # what overflows is no number and is measured
+            a, b = np.nonzero(~(both - 2 * z[some] @ own["y"].T > (chunk["reach"][some] ** 2)[:, None] + 1e-9 * both))
+            a += i
+            d = np.empty(len(a))
+            for at in range(0, len(a), CHECK_PAIRS):
+                x, y = chunk["x"][a[at:at + CHECK_PAIRS]], own["x"][b[at:at + CHECK_PAIRS]]
+                total = np.zeros(len(x))
+                for j in range(dimension):  # one after another, as the score adds them
+                    total += (x[:, j] - y[:, j]) * (x[:, j] - y[:, j])
+                d[at:at + CHECK_PAIRS] = np.sqrt(total)
+            near = d <= chunk["reach"][a]
+            a, b, d = a[near], b[near], d[near]
+            by = np.lexsort((own["first"][b], d, a))
+            a, b, d = a[by], b[by], d[by]
+            kept = np.arange(len(a)) - np.searchsorted(a, a) < k
+            out.append((chunk["query_id"][a[kept]], own["node"][b[kept]], d[kept]))
+        query, node, d = (np.concatenate(x) for x in zip(*out))
+        return {"query": query, "node": node, "d": d} if len(query) else None
+
+    met = meet(chunks.withColumnRenamed("no", "chunk"), blocks, units, prepare, kernel)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column("body"):
+                own = unpack(body.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(own[c]) for c in ("query", "node", "d")], names=["query_id", "near", "d"])
+
+    with arrow_rows(nodes.sparkSession, CHECK_NODES * dimension):
+        return cut_lineage(met.mapInArrow(rows, "query_id long, near long, d double"), "llm-confirmed")
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row where ``is_query`` holds.
+    """``query_id, rank, vec_id, score``: the ``k`` nearest rows of each row where ``is_query`` holds.
 
     Euclidean distance in double precision on the given components; a query's own row is no
     candidate; ties go to the smaller ``vec_id``. Equal vectors are one node of the graph with
     its ``k + 1`` smallest ids, which are all that can be among the ``k`` nearest, so copies do
     not crowd lists. The graph is built on vectors less the median, in the precision of the
-    input, and refined by NN-descent until it settles; results are measured on the vectors themselves.
+    input, and refined by NN-descent until it settles. What the search finds bounds the distance of
+    the true neighbours; :func:`confirmed` looks for nearer ones among all vectors, so none is missed.
 
     Rows whose id or vector is null, zero or not finite, and vectors of a rarer dimension, take
     no part. A repeated id with another vector is a candidate of its own; with the same vector it
@@ -235,6 +324,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     graph = descend(nodes, start_graph(nodes, dimension, middle), dimension)
     asked = named.where(is_query).join(nodes.select("node", "vec"), "node").select(F.col("vec_id").alias("query_id"), F.col("node").alias("own"), "vec")
     asked = cut_lineage(asked.dropDuplicates(["query_id"]), "llm-queries")
-    found = search(nodes, graph, asked).join(members.withColumnRenamed("node", "near"), "near").where("vec_id <> query_id")
+    # with the own node, which may hold no other row, k + 1 nodes hold the k nearest rows
+    first = nodes.select("node", "vec").join(named.groupBy("node").agg(F.min("vec_id").alias("first")), "node")
+    found = confirmed(first, search(nodes, graph, asked), asked, k + 1, dimension, middle)
+    found = found.join(members.withColumnRenamed("node", "near"), "near").where("vec_id <> query_id")
     ranked = found.groupBy("query_id", "vec_id").agg(F.min("d").alias("score")).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

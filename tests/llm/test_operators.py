@@ -192,6 +192,28 @@ def test_neighbours_with_a_far_vector_and_a_far_mean(spark, kind):
     assert hits >= 0.97 * 300
 
 
+def test_neighbours_without_structure_are_all_found(spark, monkeypatch):
+    """Spread vectors of many dimensions and clumps the graph does not connect: every nearest row, in order, with ties."""
+    monkeypatch.setattr(neighbours, "CHECK_NODES", 300)
+    monkeypatch.setattr(neighbours, "CHECK_QUERIES", 16)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2400, 48)).round(2)
+    x[1500:] = np.repeat(rng.normal(size=(100, 48)) * 9, 9, axis=0).round(2) + rng.integers(0, 2, (900, 48)) / 4
+    x[40:60] = np.eye(20, 48)
+    x[60:70] = x[60]
+    x = x.astype(np.float32).astype(np.float64)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = neighbours.nearest(rows, F.col("vec_id") % 20 == 0).collect()
+    for q in range(0, 2400, 20):
+        total = np.zeros(len(x))
+        for j in range(48):
+            total += (x[:, j] - x[q, j]) ** 2
+        d = np.sqrt(total)
+        best = [int(j) for j in np.lexsort((np.arange(len(x)), d)) if j != q][:10]
+        own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert own == [(i + 1, j, d[j]) for i, j in enumerate(best)]
+
+
 def test_language_model_trains_on_every_row_in_parts(spark, monkeypatch):
     monkeypatch.setattr(language_model, "PART_BYTES", 500_000)
     cycle = " ".join(f"w{i}" for i in range(600))
