@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from recordloom.operators import components, survivorship
+from recordloom.operators import blocking, components, survivorship
 from recordloom.operators.model import exact_match, with_term_frequencies
 from recordloom.operators.skew import HOT_KEYS, heavy_keys, split_join
 
@@ -90,3 +90,20 @@ def test_a_hub_is_split_and_named_by_its_least_node(spark, plain_shuffles):
     both = coded.unionAll(coded.select(F.col("b").alias("a"), F.col("a").alias("b")))
     joined, _ = components._to_least(both, 100, 2 * n)
     assert largest_share(joined) < 3 / TASKS
+
+
+def test_small_cells_are_packed_and_tasks_follow_the_pairs(spark, monkeypatch):
+    n = 400
+    rows = spark.range(n).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("pid"), F.lit("a").alias("name"), F.lit("s").alias("data_source"), F.lit(1).alias("n_records")
+    )
+    rule = blocking.block_on("name")
+    keyed = rows.select(F.struct("*").alias("row"), F.struct(F.col("name").alias("k0")).alias("key"))
+    left, right = blocking._sliced(keyed, blocking.hot_blocks(rows, [rule], 8), 8)
+    assert left.count() + right.count() <= 2 * n  # 40,000 when each row was copied to every cell
+    monkeypatch.setattr(blocking, "TASK_PAIRS", 1000)
+    for cells in (8, blocking.CELL_ROWS):
+        pairs = blocking.profile_pairs(rows, [rule], cell_rows=cells)
+        found = pairs.select("l.pid", F.col("r.pid").alias("other"))
+        assert found.count() == found.distinct().count() == n * (n - 1) // 2
+        assert pairs.rdd.getNumPartitions() == 80
