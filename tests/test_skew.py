@@ -7,6 +7,8 @@ from conftest import rows
 from recordloom.operators import blocking, components, survivorship
 from recordloom.operators.model import exact_match, with_term_frequencies
 from recordloom.operators.skew import HOT_KEYS, heavy_keys, split_join
+from recordloom.session import cut_lineage
+from recordloom.suite import matching
 
 TASKS = 32
 
@@ -107,3 +109,30 @@ def test_small_cells_are_packed_and_tasks_follow_the_pairs(spark, monkeypatch):
         found = pairs.select("l.pid", F.col("r.pid").alias("other"))
         assert found.count() == found.distinct().count() == n * (n - 1) // 2
         assert pairs.rdd.getNumPartitions() == 80
+
+
+def test_block_sizes_are_measured_once(spark, monkeypatch):
+    n = 60
+    made = spark.range(n).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("pid"), F.lit("a").alias("name"), F.lit("s").alias("data_source"), F.lit(1).alias("n_records")
+    )
+    monkeypatch.setattr(blocking, "CELL_ROWS", 8)  # cells are not packed, so a plan has no aggregates but those of the sizes
+    pairs = blocking.profile_pairs(made, [blocking.block_on("name"), blocking.block_on("name", "data_source")], cell_rows=8)
+    assert "Aggregate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert pairs.count() == n * (n - 1) // 2
+
+
+def test_links_store_folded_profiles_and_narrow_predictions(spark, tmp_path, monkeypatch):
+    texts = [("src0", "Alpha beta gamma\nmiddle\nClosing line one"), ("src7", "Alpha beta gamma\nother\nClosing line one"), ("src1", "Something else\nx\nAnother end"), ("src14", None), ("src8", "")]
+    docs = [(i, text, "en", source, len(text or "")) for i, (source, text) in enumerate(texts)]
+    # other names, so that those of the first two are rare enough to carry their pair
+    docs += [(100 + i, f"Name{i:03d} of {i * 7919}\nx\nStreet{i:03d} at {i * 104729}", "de", "src2", 30) for i in range(300)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stored = {}
+    monkeypatch.setattr(matching, "cut_lineage", lambda df, tag: stored.setdefault(tag, (df.columns, df.inputFiles())) and cut_lineage(df, tag))
+    found = matching.link_rows(spark, str(tmp_path))
+    sizes = rows(found.groupBy("cluster_id").count().groupBy("count").count())
+    assert sizes == [(1, 301), (2, 1)]
+    assert all("/folded-" in f for f in stored["profiles"][1])  # not the snapshots, once per frequency
+    assert stored["predictions"][0] == ["l", "r", "match_probability"]
