@@ -278,3 +278,33 @@ def test_training_queries_draw_the_default_number_of_pairs(spark, monkeypatch, n
     with pytest.raises(Drawn) as drawn:
         run(spark, "/root/testdata/sf0.001")
     assert drawn.value.args == (10_000_000,)
+
+
+SHARP = MatchModel(COMPARISONS, 1e-3, {**MODEL.parameters, "name": {0: (0.05, 0.7), 1: (0.1, 0.25), 2: (0.25, 0.01), 3: (0.6, 0.01)}})
+
+
+def test_spanning_predictions_connect_what_all_predictions_connect(spark):
+    rng = random.Random(1)
+    pick = lambda *values: rng.choice(values)
+    data = [(f"s{rng.randint(0, 2)}", str(i), pick(None, f"e{i % 40}", f"e{i}"), pick(None, f"NAME{i % 60}", f"ALPHA{i % 30}X", "MANY"), pick("x", "y", None)) for i in range(400)]
+    df = spark.createDataFrame(data, "data_source string, unique_id string, eid string, name string, city string")
+    profiles = model.with_term_frequencies(blocking.profiles(blocking.with_profile_id(df, COLUMNS), COLUMNS), COMPARISONS, "n_records").cache()
+    every = resolution.predict(profiles, RULES, SHARP, 0.5).cache()
+    some = resolution.spanning_predictions(profiles, RULES, SHARP, 0.5).cache()
+    shape = ["l.pid", F.col("r.pid").alias("other"), F.round("match_probability", 9)]
+    assert {tuple(r) for r in some.select(*shape).collect()} <= {tuple(r) for r in every.select(*shape).collect()}
+    want = rows(resolution.cluster(profiles, every, 0.5), "pid", F.coalesce("cluster_id", F.lit("")))
+    assert rows(resolution.cluster(profiles, some, 0.5), "pid", F.coalesce("cluster_id", F.lit(""))) == want
+    assert len({w[1] for w in want}) < len(want)
+
+
+def test_pairs_of_a_connected_block_are_not_all_predicted(spark):
+    n = 60
+    data = [("s0", str(i), f"e{i}", "HOT NAME", "x") for i in range(n)] + [("s1", str(i), None, f"{i * 7919} N{i}", None) for i in range(6000)]
+    df = spark.createDataFrame(data, "data_source string, unique_id string, eid string, name string, city string")
+    profiles = model.with_term_frequencies(blocking.profiles(blocking.with_profile_id(df, COLUMNS), COLUMNS), COMPARISONS, "n_records").cache()
+    likely = MatchModel(COMPARISONS, 0.1, SHARP.parameters)
+    assert resolution.predict(profiles, [block_on("name")], likely, 0.5).count() == n * (n - 1) // 2
+    found = resolution.spanning_predictions(profiles, [block_on("name")], likely, 0.5).cache()
+    assert found.count() == n - 1
+    assert resolution.cluster(profiles, found, 0.5).groupBy("cluster_id").count().agg(F.max("count")).first()[0] == n
